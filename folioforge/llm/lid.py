@@ -263,7 +263,8 @@ def passage_languages(model: Model, texts: list[str | None]) -> list[list[tuple[
     s = model.restrain(lines, s)
     own = np.array(owner)
     begin = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-    whole = np.add.reduceat(s, begin, axis=0)
+    # a line's say in the language of the whole is bounded, so that none decides alone
+    whole = np.add.reduceat(np.maximum(s - s.max(1)[:, None], -60) * np.minimum(chars, 200)[:, None], begin, axis=0)
     main = np.repeat(whole.argmax(1), np.diff(np.append(begin, len(own))))
     at = np.arange(len(own))
     top = s.argmax(1)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import lid
+from folioforge.functions.text import estimate
+from folioforge.llm import fill, lid, sample, split, tokens
 from folioforge.llm.common import setting, spread
 from folioforge.sources.tables import table
 
@@ -13,6 +14,54 @@ from folioforge.sources.tables import table
 NINE = ("en", "zh", "fr", "de", "es", "pt", "it", "ru", "ja")
 
 
+def p1_pieces(spark: SparkSession, root: str) -> DataFrame:
+    """Every oversized segment in pieces."""
+    limit, overlap = setting(spark, root, "split_limit_tokens"), setting(spark, root, "split_overlap_tokens")
+    return split.split_oversized(spread(table(spark, root, "segments").select("segment_id", "text", "source_detail")), limit, overlap)
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    return p1_pieces(spark, root).where("piece_no = 1 and n_pieces > 1").select("segment_id")
+
+
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return tokens.audit(table(spark, root, "segments")).where("mistaken").select("segment_id")
+
+
+def p2_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Tokens by source file and language."""
+    return tokens.totals(table(spark, root, "segments"))
+
+
+def _sampling(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    wanted = sample.quotas(table(spark, root, "stratum_target"), table(spark, root, "sampling_config"))
+    return sample.one_pass(sample.units_of(table(spark, root, "segments")), wanted), wanted
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return p6_report(spark, root).where("reason is not null").select("config_id", "stratum_key")
+
+
+def p6_report(spark: SparkSession, root: str) -> DataFrame:
+    """Every target with what there is of it and why it cannot be met."""
+    return sample.report(*_sampling(spark, root))
+
+
+def p6_sample(spark: SparkSession, root: str) -> DataFrame:
+    """The units drawn for each sampling configuration."""
+    return sample.draw(*_sampling(spark, root))
+
+
+def p8_containers(spark: SparkSession, root: str) -> DataFrame:
+    """The container of every document or piece of an oversized one."""
+    capacity = setting(spark, root, "container_capacity_tokens")
+    return fill.fill(spread(table(spark, root, "documents").select("doc_id", "text")), capacity, "doc_id", estimate(F.col("text")))
+
+
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    return p8_containers(spark, root).where("oversized").select("doc_id").distinct()
+
+
 def p10_languages(spark: SparkSession, root: str) -> DataFrame:
     """Each document's languages with confidence and size."""
     docs = table(spark, root, "documents").select("doc_id", "text", F.col("lang").alias("label"))
@@ -24,5 +73,25 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return lid.unnamed_languages(p10_languages(spark, root), "doc_id", F.col("label"))
 
 
-QUERIES = {"p10_found": p10_found, "p10_languages": p10_languages}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_totals": p2_totals,
+    "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p8_found": p8_found,
+    "p8_containers": p8_containers, "p10_found": p10_found, "p10_languages": p10_languages,
+}
+
+#: The token estimate in SQL.
+SPACE = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+IDEOGRAPHS = r"length(regexp_replace(coalesce(text, ''), '[^\x{4E00}-\x{9FFF}]+', '', 'g'))"
+SOLID = rf"length(regexp_replace(coalesce(text, ''), '[{SPACE}]+', '', 'g'))"
+ESTIMATE = f"(CASE WHEN coalesce(text, '') = '' THEN 0 ELSE greatest(1, trunc({IDEOGRAPHS} * 1.05::DOUBLE + ({SOLID} - {IDEOGRAPHS}) / 3.8::DOUBLE)::BIGINT) END)"
+UNITS = f"(SELECT unit_id, max(stratum_key) AS stratum_key, max({ESTIMATE}) AS tokens FROM segments WHERE stratum_key IS NULL OR trim(stratum_key) <> '' GROUP BY unit_id)"
+SQL = {
+    "p1_found": f"SELECT segment_id FROM segments WHERE {ESTIMATE} > (SELECT amount FROM run_settings WHERE setting = 'split_limit_tokens')",
+    "p2_found": f"SELECT segment_id FROM segments WHERE token_estimate IS NULL OR abs(token_estimate - {ESTIMATE}) * 4 > {ESTIMATE}",
+    "p6_found": f"""
+        WITH have AS (SELECT stratum_key, count(*) AS units, sum(tokens) AS tokens FROM {UNITS} WHERE stratum_key IS NOT NULL GROUP BY 1)
+        SELECT t.config_id, t.stratum_key
+        FROM stratum_target t JOIN sampling_config c USING (config_id) LEFT JOIN have h ON h.stratum_key = t.stratum_key
+        WHERE coalesce(h.tokens, 0) < t.target_share * c.representative_max_tokens OR coalesce(h.units, 0) < c.minimum_units_per_stratum""",
+    "p8_found": f"SELECT doc_id FROM documents WHERE {ESTIMATE} > (SELECT amount FROM run_settings WHERE setting = 'container_capacity_tokens')",
+}
