@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import estimate
-from folioforge.llm import fill, lid, sample, split, tokens
+from folioforge.llm import encoding, fill, lid, sample, split, tokens
 from folioforge.llm.common import setting, spread
 from folioforge.sources.tables import table
 
@@ -33,6 +33,15 @@ def p2_totals(spark: SparkSession, root: str) -> DataFrame:
     return tokens.totals(table(spark, root, "segments"))
 
 
+def p3_repaired(spark: SparkSession, root: str) -> DataFrame:
+    """Every decoded row with its text put right."""
+    return encoding.repaired(spread(table(spark, root, "decoded").select("decoded_id", "text")))
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return p3_repaired(spark, root).where("garbled").select("decoded_id")
+
+
 def _sampling(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     wanted = sample.quotas(table(spark, root, "stratum_target"), table(spark, root, "sampling_config"))
     return sample.one_pass(sample.units_of(table(spark, root, "segments")), wanted), wanted
@@ -75,6 +84,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_totals": p2_totals,
+    "p3_found": p3_found, "p3_repaired": p3_repaired,
     "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p8_found": p8_found,
     "p8_containers": p8_containers, "p10_found": p10_found, "p10_languages": p10_languages,
 }
