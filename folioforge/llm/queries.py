@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import estimate
-from folioforge.llm import encoding, fill, lid, sample, split, tokens
+from folioforge.llm import encoding, fill, lid, sample, sentences, split, tokens
 from folioforge.llm.common import setting, spread
 from folioforge.sources.tables import table
 
@@ -42,6 +42,20 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return p3_repaired(spark, root).where("garbled").select("decoded_id")
 
 
+def p5_sentences(spark: SparkSession, root: str) -> DataFrame:
+    """The sentences of every segment."""
+    segments = table(spark, root, "segments")
+    return sentences.sentences(spread(segments.select("segment_id", "text")), lid.fit(segments, "text", "language", "segment_id"))
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """Sentence ends of the segments of sentence_probe. The probe is joined before the texts are cut."""
+    segments = table(spark, root, "segments")
+    probe = table(spark, root, "sentence_probe").select("segment_id").distinct()
+    asked = segments.select("segment_id", "text").join(probe, "segment_id", "left_semi")
+    return sentences.sentences(asked, lid.fit(segments, "text", "language", "segment_id")).select("segment_id", "end_pos")
+
+
 def _sampling(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     wanted = sample.quotas(table(spark, root, "stratum_target"), table(spark, root, "sampling_config"))
     return sample.one_pass(sample.units_of(table(spark, root, "segments")), wanted), wanted
@@ -85,7 +99,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_totals": p2_totals,
     "p3_found": p3_found, "p3_repaired": p3_repaired,
-    "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p8_found": p8_found,
+    "p5_found": p5_found, "p5_sentences": p5_sentences, "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p8_found": p8_found,
     "p8_containers": p8_containers, "p10_found": p10_found, "p10_languages": p10_languages,
 }
 
