@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import estimate
-from folioforge.llm import encoding, fill, lid, sample, sentences, split, tokens
+from folioforge.llm import encoding, fill, lid, ocr, sample, sentences, split, tokens
 from folioforge.llm.common import setting, spread
 from folioforge.sources.tables import table
 
@@ -42,6 +42,20 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return p3_repaired(spark, root).where("garbled").select("decoded_id")
 
 
+def _marked(spark: SparkSession, root: str, lines: bool) -> DataFrame:
+    segments = table(spark, root, "segments").select("segment_id", "text", "source_file", "source_id", "source_title", "source_detail")
+    return ocr.marked(spread(segments), lines=lines)
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return _marked(spark, root, False).where("noisy").select("segment_id")
+
+
+def p4_paragraphs(spark: SparkSession, root: str) -> DataFrame:
+    """Every segment as continuous paragraphs, without what the scanner added."""
+    return ocr.reflowed(_marked(spark, root, True))
+
+
 def p5_sentences(spark: SparkSession, root: str) -> DataFrame:
     """The sentences of every segment."""
     segments = table(spark, root, "segments")
@@ -99,7 +113,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_totals": p2_totals,
     "p3_found": p3_found, "p3_repaired": p3_repaired,
-    "p5_found": p5_found, "p5_sentences": p5_sentences, "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p8_found": p8_found,
+    "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p5_found": p5_found, "p5_sentences": p5_sentences, "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p8_found": p8_found,
     "p8_containers": p8_containers, "p10_found": p10_found, "p10_languages": p10_languages,
 }
 

@@ -60,7 +60,7 @@ def _rules() -> dict[str, list[Rule]]:
         own: list[Rule] = []
         # letters with stops between them may stand apart: "d. h.", "т. е.", "p. ej."
         if lang in _OPEN:
-            opened = "|".join(re.escape(w).replace(r"\.", r"\.\s?") for w in sorted(_OPEN[lang].split(), key=len, reverse=True))
+            opened = "|".join(re.escape(w).replace(r"\.", r"\.\s?" if w.islower() else r"\.") for w in sorted(_OPEN[lang].split(), key=len, reverse=True))
             own.append((True, re.compile(rf"{_GLUE}(?:{opened})\.$"), re.compile(rf"{upper}|\s*$")))
             own.append((False, re.compile(rf"{_GLUE}(?:{opened})\.$"), _ANY))
         if lang in _NUMBERED:
