@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import estimate
-from folioforge.llm import encoding, fill, lid, ocr, sample, sentences, split, tokens
+from folioforge.llm import encoding, fill, lid, lookalike, ocr, sample, sentences, split, tokens
 from folioforge.llm.common import setting, spread
 from folioforge.sources.tables import table
 
@@ -89,6 +89,15 @@ def p6_sample(spark: SparkSession, root: str) -> DataFrame:
     return sample.draw(*_sampling(spark, root))
 
 
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    return lookalike.lookalike_pairs({"extracts": (table(spark, root, "extracts"), "extract_id"), "segments": (table(spark, root, "segments"), "segment_id")})
+
+
+def p7_canonical(spark: SparkSession, root: str) -> DataFrame:
+    """The canonical form of every segment's text."""
+    return lookalike.with_canonical(table(spark, root, "segments"), "segment_id")
+
+
 def p8_containers(spark: SparkSession, root: str) -> DataFrame:
     """The container of every document or piece of an oversized one."""
     capacity = setting(spark, root, "container_capacity_tokens")
@@ -113,7 +122,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_totals": p2_totals,
     "p3_found": p3_found, "p3_repaired": p3_repaired,
-    "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p5_found": p5_found, "p5_sentences": p5_sentences, "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p8_found": p8_found,
+    "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p5_found": p5_found, "p5_sentences": p5_sentences, "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p7_found": p7_found, "p7_canonical": p7_canonical, "p8_found": p8_found,
     "p8_containers": p8_containers, "p10_found": p10_found, "p10_languages": p10_languages,
 }
 

@@ -26,7 +26,7 @@ LEVELS = (
     ("word", re.compile(r"\s+|(?<=[，、；：])")),
 )
 #: A sign that belongs to the character before it; no piece starts with one.
-ATTACHED = re.compile(r"[̀-゙゚َͯ-ْऀ-ःऺ-ॏัิ-ฺ็-๎​-‍︀-️]")
+ATTACHED = re.compile("[\u0300-\u036f\u0591-\u05bd\u064b-\u0655\u0900-\u0903\u093a-\u093c\u093e-\u094f\u0e31\u0e34-\u0e3a\u0e47-\u0e4e\u200b-\u200d\u3099-\u309a\ufe00-\ufe0f]")
 PIECE_SCHEMA = "piece_no int, n_pieces int, start_pos int, end_pos int, cut_level string, text string, token_estimate bigint, source_detail string"
 
 
