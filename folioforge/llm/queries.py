@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import estimate
-from folioforge.llm import encoding, fill, lid, lookalike, ocr, sample, sentences, split, tokens
+from folioforge.llm import encoding, fill, leak, lid, lookalike, ocr, sample, sentences, split, tokens
 from folioforge.llm.common import setting, spread
 from folioforge.sources.tables import table
 
@@ -108,6 +108,15 @@ def p8_found(spark: SparkSession, root: str) -> DataFrame:
     return p8_containers(spark, root).where("oversized").select("doc_id").distinct()
 
 
+def p9_leaks(spark: SparkSession, root: str) -> DataFrame:
+    """Documents and the evaluation items that leaked into them, with the share and place of the passage."""
+    return leak.leaks(spread(table(spark, root, "documents").select("doc_id", "text")), table(spark, root, "eval_items").select("item_id", "text"))
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    return p9_leaks(spark, root).select("doc_id", "item_id")
+
+
 def p10_languages(spark: SparkSession, root: str) -> DataFrame:
     """Each document's languages with confidence and size."""
     docs = table(spark, root, "documents").select("doc_id", "text", F.col("lang").alias("label"))
@@ -123,7 +132,7 @@ QUERIES = {
     "p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p2_totals": p2_totals,
     "p3_found": p3_found, "p3_repaired": p3_repaired,
     "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p5_found": p5_found, "p5_sentences": p5_sentences, "p6_found": p6_found, "p6_report": p6_report, "p6_sample": p6_sample, "p7_found": p7_found, "p7_canonical": p7_canonical, "p8_found": p8_found,
-    "p8_containers": p8_containers, "p10_found": p10_found, "p10_languages": p10_languages,
+    "p8_containers": p8_containers, "p9_found": p9_found, "p9_leaks": p9_leaks, "p10_found": p10_found, "p10_languages": p10_languages,
 }
 
 #: The token estimate in SQL.
