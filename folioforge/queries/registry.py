@@ -1,4 +1,7 @@
 """All queries of the core, by name."""
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from folioforge.queries import text
+
+PARTS = (text,)
+QUERIES: dict = {name: q for part in PARTS for name, q in part.QUERIES.items()}
+SQL: dict[str, str] = {name: s for part in PARTS for name, s in part.SQL.items()}
