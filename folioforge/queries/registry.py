@@ -1,7 +1,7 @@
 """All queries of the core, by name."""
 
-from folioforge.queries import text
+from folioforge.queries import tables, text
 
-PARTS = (text,)
+PARTS = (text, tables)
 QUERIES: dict = {name: q for part in PARTS for name, q in part.QUERIES.items()}
 SQL: dict[str, str] = {name: s for part in PARTS for name, s in part.SQL.items()}

@@ -199,8 +199,9 @@ def _sents(text: str) -> str:
     return rf"list_filter(list_transform(regexp_split_to_array(regexp_replace({text}, '([。！？!?；;])', '\1' || chr(10), 'g'), '\n+'), lambda x: trim(x)), lambda x: length(x) > 1)"
 
 
+_PLAIN = r"regexp_replace({}, '[\x{{C0}}-\x{{24F}}]', 'x', 'g')"
 _FP = style.FIRST_PERSON.replace("'", "''")
-_TURN_SQL = rf"""SELECT doc_id, turn, length(response)::BIGINT AS chars, len(regexp_extract_all(response, '{_FP}'))::BIGINT AS first_person, len(regexp_extract_all(response, '{style.LECTURING}'))::BIGINT AS lecturing,
+_TURN_SQL = rf"""SELECT doc_id, turn, length(response)::BIGINT AS chars, len(regexp_extract_all({_PLAIN.format('response')}, '{_FP}'))::BIGINT AS first_person, len(regexp_extract_all(response, '{style.LECTURING}'))::BIGINT AS lecturing,
  (len(regexp_extract_all(response, '{style.LIST_LINE}')) >= 3 OR {' OR '.join(f"regexp_matches(response, '{x}')" for x in style.ORDINAL)}) AS ordinal,
  CASE WHEN len(s) >= 5 THEN round(sqrt(greatest(0.0, (len(s) * sq - su * su)::DOUBLE)) / su, 4) END AS sentence_cv,
  len(list_filter(regexp_split_to_array(response, '\n\s*\n'), lambda x: length(trim(x)) > 0))::BIGINT AS paragraphs,
@@ -230,8 +231,8 @@ def dialogue_flags(spark: SparkSession, root: str) -> DataFrame:
 _CONN = style.CONNECTIVE.replace("'", "''")
 _STYLE = rf"""st AS (SELECT doc_id, text, source, n, CASE WHEN ok THEN round(su::DOUBLE / n, 4) END AS sentence_len_mean, CASE WHEN ok THEN round(sqrt(greatest(0.0, (n * sq - su * su)::DOUBLE)) / n / (su::DOUBLE / n), 4) END AS sentence_len_cv,
  CASE WHEN ok THEN round(len(list_filter(s, lambda x: regexp_matches(x, '[？?]$')))::DOUBLE / n, 4) END AS question_rate, CASE WHEN ok THEN round(len(list_filter(s, lambda x: regexp_matches(x, '[！!]$')))::DOUBLE / n, 4) END AS exclaim_rate,
- CASE WHEN ok THEN round(len(regexp_extract_all(text, '{_FP}')) * (1000.0::DOUBLE / ch), 4) END AS first_person_per_k, CASE WHEN ok THEN round({count_chars('text', style.CLASSICAL)} * (1000.0::DOUBLE / ch), 4) END AS classical_per_k,
- CASE WHEN ok THEN round(len(regexp_extract_all(text, '{_CONN}')) * (1000.0::DOUBLE / ch), 4) END AS connective_per_k, CASE WHEN ok THEN round({count_chars('text', '，,、')}::DOUBLE / n, 4) END AS commas_per_sentence
+ CASE WHEN ok THEN round(len(regexp_extract_all({_PLAIN.format('text')}, '{_FP}')) * (1000.0::DOUBLE / ch), 4) END AS first_person_per_k, CASE WHEN ok THEN round({count_chars('text', style.CLASSICAL)} * (1000.0::DOUBLE / ch), 4) END AS classical_per_k,
+ CASE WHEN ok THEN round(len(regexp_extract_all({_PLAIN.format('text')}, '{_CONN}')) * (1000.0::DOUBLE / ch), 4) END AS connective_per_k, CASE WHEN ok THEN round({count_chars('text', '，,、')}::DOUBLE / n, 4) END AS commas_per_sentence
  FROM (SELECT *, n >= 3 AND ch >= 40 AS ok FROM (SELECT *, len(s) AS n, list_sum(list_transform(s, lambda x: length(x)))::BIGINT AS su, list_sum(list_transform(s, lambda x: length(x) * length(x)))::BIGINT AS sq FROM (SELECT doc_id, source, coalesce(text, '') AS text, {_sents("coalesce(text, '')")} AS s, {solid("coalesce(text, '')")} AS ch FROM documents))))"""
 _FEATS = ", ".join(style.FEATURES)
 
