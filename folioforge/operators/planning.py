@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions.rules import seeded_rank
-from folioforge.functions.text import estimate_py
+from folioforge.functions.text import SPACE, estimate_py
 
 #: Tokens at which a shard is closed, and that it never exceeds by taking another segment (fixed values).
 TARGET, HARD = 30_000, 60_000
@@ -69,7 +69,7 @@ def char_windows(df: DataFrame, key: str, text: str, window: int, overlap: int)
     n, step = F.length(text), window - overlap
     last = F.greatest(F.lit(0), F.ceil((n - window) / F.lit(step)).cast("int"))
     w = df.where(F.length(F.trim(text)) > 0).select(key, text, F.explode(F.sequence(F.lit(0), last)).alias("window_no"))
-    return w.select(key, "window_no", (F.col("window_no") * step).alias("start"), F.trim(F.substring(F.col(text), F.col("window_no") * step + 1, F.lit(window))).alias("piece")).where("piece <> ''")
+    return w.select(key, "window_no", (F.col("window_no") * step).alias("start"), F.regexp_replace(F.substring(F.col(text), F.col("window_no") * step + 1, F.lit(window)), f"^[{SPACE}]+|[{SPACE}]+$", "").alias("piece")).where("piece <> ''")
 
 
 def split_paragraphs(text: str | None, limit: int) -> list[str]:

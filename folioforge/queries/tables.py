@@ -296,11 +296,11 @@ def principle_clusters(spark: SparkSession, root: str) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint")).drop("first")
 
 
-@query(f"""WITH t AS (SELECT DISTINCT source_title, {_KEY.replace('120', '400')} AS f FROM {_SANE}), x AS (SELECT * FROM t WHERE f <> '')
+@query(f"""WITH t AS (SELECT DISTINCT source_title, regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}_]+', '', 'g') AS f FROM {_SANE}), x AS (SELECT * FROM t WHERE f <> '')
 SELECT source_title, count(*) AS fragments, sum(length(f))::BIGINT AS chars FROM x a WHERE NOT EXISTS (SELECT 1 FROM x b WHERE b.source_title = a.source_title AND length(b.f) > length(a.f) AND contains(b.f, a.f)) GROUP BY 1""")
 def evidence_survival(spark: SparkSession, root: str) -> DataFrame:
     """Fragments and characters of each title that no longer fragment of it contains."""
-    k = F.substring(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}_]+", ""), 1, 400)
+    k = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}_]+", "")
     x = _sane(spark, root).select("source_title", "extract_id", k.alias("f"))
     return surviving(x, "source_title", "extract_id", "f").groupBy("source_title").agg(F.count("*").alias("fragments"), F.sum(F.length("text")).alias("chars"))
 
@@ -318,7 +318,7 @@ def source_ledger(spark: SparkSession, root: str) -> DataFrame:
     """Documents of each source by genre, and its labels."""
     d = table(spark, root, "documents").where("source is not null")
     n = {g: relational.count_where(F.col("genre") == g).alias(g) for g in ("talk", "letter", "notes", "dialogue")}
-    return d.groupBy("source").agg(F.count("*").alias("docs"), *n.values(), F.nullif(F.array_join(F.sort_array(F.collect_set("lang")), "|"), F.lit("")).alias("langs"))
+    return d.groupBy("source").agg(F.count("*").alias("docs"), *n.values(), F.when(F.count("lang") > 0, F.array_join(F.sort_array(F.collect_set("lang")), "|")).alias("langs"))
 
 
 @query("""SELECT CASE WHEN grouping(classification) = 0 THEN 'classification' WHEN grouping(ocr_required) = 0 THEN 'ocr_required' ELSE 'page_number' END AS dimension, coalesce(classification, ocr_required::VARCHAR, pg::VARCHAR, 'null') AS value, count(*) AS pages, round(sum(quality_score * non_ws_chars) / sum(CASE WHEN quality_score IS NOT NULL THEN non_ws_chars END), 6) AS weighted_score

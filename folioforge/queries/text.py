@@ -199,7 +199,7 @@ def _sents(text: str) -> str:
     return rf"list_filter(list_transform(regexp_split_to_array(regexp_replace({text}, '([。！？!?；;])', '\1' || chr(10), 'g'), '\n+'), lambda x: trim(x)), lambda x: length(x) > 1)"
 
 
-_PLAIN = r"regexp_replace({}, '[\x{{C0}}-\x{{24F}}]', 'x', 'g')"
+_PLAIN = r"regexp_replace({}, '[\x{{C0}}-\x{{24F}}\x{{370}}-\x{{52F}}\x{{FF10}}-\x{{FF5A}}]', 'x', 'g')"
 _FP = style.FIRST_PERSON.replace("'", "''")
 _TURN_SQL = rf"""SELECT doc_id, turn, length(response)::BIGINT AS chars, len(regexp_extract_all({_PLAIN.format('response')}, '{_FP}'))::BIGINT AS first_person, len(regexp_extract_all(response, '{style.LECTURING}'))::BIGINT AS lecturing,
  (len(regexp_extract_all(response, '{style.LIST_LINE}')) >= 3 OR {' OR '.join(f"regexp_matches(response, '{x}')" for x in style.ORDINAL)}) AS ordinal,
