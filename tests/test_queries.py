@@ -1,9 +1,11 @@
 """Every core query against its SQL on the smallest tables."""
 
 import glob
+import numbers
 import os
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -12,11 +14,11 @@ from folioforge.queries.registry import QUERIES, SQL
 
 def rows(df: pd.DataFrame) -> list[tuple]:
     def one(v):
-        if hasattr(v, "tolist") and not isinstance(v, (int, float)):
-            return str(v.tolist())
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v) or v is pd.NA:
+        if isinstance(v, (list, np.ndarray)):
+            return str(list(v))
+        if pd.isna(v):
             return None
-        if isinstance(v, (float, int)) and not isinstance(v, bool):
+        if isinstance(v, numbers.Number) and not isinstance(v, (bool, np.bool_)):
             return round(float(v), 6)
         return str(v)
 
