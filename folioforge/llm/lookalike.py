@@ -120,8 +120,9 @@ def canonical(text: str | None) -> str | None:
         return text
     t = _BREAK.sub("\n", text)
     t = _SPACE.sub(" ", _IGNORABLE.sub("", t))
-    if _COMPAT.search(t):
+    if _KANA_NARROW.search(t):
         t = _KANA_NARROW.sub(lambda m: unicodedata.normalize("NFKC", m.group()), t)
+    if _COMPAT.search(t):
         t = _COMPAT.sub(lambda m: unicodedata.normalize("NFKC", m.group()), t)
     t = unicodedata.normalize("NFC", t.replace("ํา", "ำ"))
     if not _FOREIGN.search(t) and not any(c in t for c in ALIASES):
