@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Encodings that garbled text was read in, and those it may have been written in.
-READ_IN = ("cp1252", "latin-1", "mac-roman", "cp437", "cp1250", "cp1251", "koi8-r", "cp866", "cp850", "cp1254", "cp874", "cp1256")
+READ_IN = ("cp1252", "latin-1", "mac-roman", "cp437", "cp1250", "cp1251", "koi8-r", "cp866", "cp850", "cp1254", "mac_cyrillic", "iso8859_5", "cp874", "cp1256")
 #: Double-byte readings, by the codec that has exactly their double bytes.
 READ_IN_WIDE = {"gb18030": "gbk", "big5": "cp950", "shift_jis": "cp932", "euc_jp": "euc_jp", "euc_kr": "cp949"}
-WRITTEN_IN = ("gb18030", "euc_jp", "shift_jis", "big5", "cp1251", "cp1252", "koi8-r", "cp866", "cp1256", "cp874", "mac-roman", "cp1250", "cp850", "cp437")
-#: Alphabets in which chance bytes look like words; they must win clearly.
-UNLIKELY = {"cp874", "cp1256", "koi8-r", "cp866", "mac-roman", "cp850", "cp437", "cp1250"}
+WRITTEN_IN = ("gb18030", "euc_jp", "shift_jis", "big5", "cp1251", "cp1252", "koi8-r", "cp866", "mac_cyrillic", "iso8859_5", "cp1256", "cp874", "mac-roman", "cp1250", "cp850", "cp437")
+#: What it costs to have been written in encodings in which chance bytes look like words: from double bytes, else.
+DOUBT = {"cp874": (0.3, 0.3), "cp1256": (0.3, 0.3), "koi8-r": (0.3, 0.03), "cp866": (0.3, 0.03), "mac-roman": (0.3, 0.05), "cp850": (0.3, 0.05), "cp437": (0.3, 0.06), "mac_cyrillic": (0.3, 0.05), "iso8859_5": (0.3, 0.05), "cp1250": (0.3, 0.1), "cp1251": (0.06, 0.0)}
 ROUNDS = 3
 #: Signs of lost characters from which on a text is garbled though nothing of it can be read otherwise.
 LOST = 3
@@ -92,6 +92,10 @@ _UNUSUAL = set("åæðøþýÿëïœêÊûõ")
 _PUNCT = set("“”‘’–—…«»¿¡€£°±½、。，！？；：「」『』（）《》·〜ー〈〉【】　№ªº©®§")
 
 
+_SELDOM = set("фщъэцюжшхђѓѕіїјљњћќўџґ")
+_INVERTED = re.compile(r"\b[а-яё][А-ЯЁ]{2,}")
+
+
 def badness(text: str) -> float:
     """How unlike text the characters above ASCII are, per character: 0 for sound text, above 1 for garbled.
 
@@ -99,7 +103,7 @@ def badness(text: str) -> float:
     small letters, unusual letters of an alphabet, ideographs none of which is frequent.
     """
     total = n = 0
-    han = common = kana = inside = foreign = 0
+    han = common = kana = inside = foreign = cyrillic = seldom = 0
     last, last_cat = "ascii", "Zs"
     run_latin = 0
     for c in text:
@@ -142,6 +146,8 @@ def badness(text: str) -> float:
             if run_latin > 2 and cat[0] == "L":
                 total += 0.8
         elif kind in ("cyrillic", "cyrillic2"):
+            cyrillic += 1
+            seldom += c.lower() in _SELDOM
             if kind == "cyrillic2":
                 total += 1.2
             elif cat == "Lu" and last_cat == "Ll":
@@ -156,10 +162,16 @@ def badness(text: str) -> float:
         elif kind == "greek":
             total += 0.8
         else:
-            total += 0.0 if cat[0] in "PZ" else 1.0
+            total += 0.0 if cat[0] in "PZ" else 3.0 if cat[0] == "L" else 1.0
         if kind != "latin":
             run_latin = 0
         last, last_cat = kind, cat
+    if cyrillic >= 8:  # letters that make up a twentieth of Russian
+        total += 3 * max(0.0, seldom - 0.13 * cyrillic - 1)
+    # a small letter before capitals: an alphabet read in another one's order of cases
+    inverted = [len(m) for m in _INVERTED.findall(text)]
+    if len(inverted) * 12 >= text.count(" "):
+        total += 6 * sum(inverted)
     if han:
         rate = common / han
         if kana >= han * 0.15:
@@ -236,6 +248,8 @@ def wide_reading(line: str, codec: str, written: str) -> str | None:
     out: list[str] = []
     buf = bytearray()
     mapped = False
+    if 2 * sum(c > "\u2e7f" and c != "�" for c in line) < sum(c > "\x7f" and c not in _PUNCT and c != "�" for c in line):
+        return None  # the double bytes of other alphabets say nothing
 
     def flush() -> None:
         if buf:
@@ -290,9 +304,9 @@ def narrow_reading(line: str, codec: str, written: str) -> str | None:
     return "".join(out) if mapped else None
 
 
-def _cost(text: str, order: int, written: str = "") -> float:
+def _cost(text: str, order: int, written: str = "", wide: bool = False) -> float:
     high = sum(c >= "\x80" for c in text)
-    return badness(text) + 0.008 * order + (0.3 if written in UNLIKELY else 0.0) + (0.5 * text.count("�") / high if high else 0.0)
+    return badness(text) + 0.004 * order + DOUBT.get(written, (0.0, 0.0))[0 if wide else 1] + (0.5 * text.count("�") / high if high else 0.0)
 
 
 def _line_repair(line: str) -> tuple[str, str, str] | None:
@@ -302,13 +316,12 @@ def _line_repair(line: str) -> tuple[str, str, str] | None:
         return None
     best: tuple[float, str, str, str] | None = None
     for k, read in enumerate(READ_IN):
-        new, got = line, None
-        for _ in range(ROUNDS):
+        new = line
+        for _ in range(ROUNDS):  # text may have been garbled more than once
             got = utf8_spans(new, read)
             if not got or got[0] == new:
                 break
             new = got[0]
-        if new != line:
             b = _cost(new, k)
             if best is None or b < best[0]:
                 best = (b, new, read, "utf-8")
@@ -320,7 +333,7 @@ def _line_repair(line: str) -> tuple[str, str, str] | None:
                 continue
             new = wide_reading(line, codec, written)
             if new is not None and new != line:
-                b = _cost(new, k + j, written)
+                b = _cost(new, k + j, written, True)
                 if best is None or b < best[0]:
                     best = (b, new, read, written)
     for k, read in enumerate(READ_IN):
@@ -348,7 +361,7 @@ def repair(text: str | None) -> tuple[str | None, str | None, str | None, bool]:
     """
     if not text or not _SEAM.search(text):
         return text, None, None, False
-    if not _SUSPECT.search(text) and not _UTF8_TRACE.search(text) and badness(text) < 0.2:
+    if text.count("�") < LOST and not _SUSPECT.search(text) and not _UTF8_TRACE.search(text) and all(badness(x) < 0.2 for x in text.split("\n")):
         return text, None, None, False
     read = written = None
     lost = False
