@@ -30,6 +30,7 @@ ORDER, REMEMBER = 4, 300_000
 LEAST_LEAD = 20.0
 #: Bound of the training sample: rows per language, and lines of one row.
 SAMPLE_ROWS, SAMPLE_LINES = 150, 40
+SPAN = 1 << 40
 
 #: Sentences that stand in for a language of which the sample has little or nothing.
 SEED = {
@@ -223,14 +224,13 @@ def train(rows: list[tuple[str, str]], languages: tuple[str, ...] = LANGUAGES) -
 def fit(df: DataFrame, text: str, label: str, key: str, languages: tuple[str, ...] = LANGUAGES, rows: int = SAMPLE_ROWS) -> Model:
     """Model fitted on a bounded sample of labelled rows: of each language the ``rows`` rows with the lowest hash of
     their key. Nulls and labels that name none of the languages are left out; an empty table gives the seed model."""
-    named = df.select(label_language(F.col(label)).alias("lang"), F.xxhash64(key).alias("h"), F.col(text).alias("text"))
+    named = df.select(label_language(F.col(label)).alias("lang"), F.pmod(F.xxhash64(key), F.lit(SPAN)).alias("h"), F.col(text).alias("text"))
     named = named.where(F.col("lang").isin(*languages) & F.col("text").isNotNull() & (F.length("text") < 20_000))
-    picked = named.groupBy("lang").agg(F.min_by("text", "h").alias("t0"), F.count("*").alias("n"))
-    share = {r["lang"]: r["n"] for r in picked.select("lang", "n").collect()}
+    share = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # at most twelve rows
     out: list[tuple[str, str]] = []
     if share:
         limit = F.create_map(*[x for k, n in share.items() for x in (F.lit(k), F.lit(min(1.0, 1.3 * rows / n + 20 / n)))])
-        part = named.where(F.pmod("h", F.lit(1_000_003)) < F.try_element_at(limit, F.col("lang")) * 1_000_003)
+        part = named.where(F.col("h") < F.try_element_at(limit, F.col("lang")) * SPAN)
         got = sorted((r["lang"], r["h"], r["text"]) for r in part.collect())
         seen: Counter = Counter()
         for lang, _, t in got:
