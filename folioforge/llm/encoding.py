@@ -242,66 +242,64 @@ UTF8_RUN = re.compile(rb"(?:" + UTF8.pattern + rb")+")
 HIGH = re.compile(rb"[\x80-\xff]+")
 
 
-def wide_reading(line: str, codec: str, written: str) -> str | None:
-    """``line`` with every maximal stretch that maps back to double bytes of ``codec`` read in ``written``; characters
-    that do not map stay. None where nothing maps or the bytes lack the structure of ``written``."""
-    out: list[str] = []
-    buf = bytearray()
-    mapped = False
+def wide_stretches(line: str, codec: str) -> list[str | bytes] | None:
+    """``line`` as the maximal stretches that map back to double bytes of ``codec`` (bytes) and what lies between (str).
+    None where nothing maps, or where the line is not mostly of signs that such codecs are for."""
     if 2 * sum(c > "\u2e7f" and c != "�" for c in line) < sum(c > "\x7f" and c not in _PUNCT and c != "�" for c in line):
         return None  # the double bytes of other alphabets say nothing
+    return _stretches(line, lambda c: _double(c, codec))
 
-    def flush() -> None:
-        if buf:
-            out.append(_decode(bytes(buf), written, None))
-            buf.clear()
 
-    for c in line:
-        if c < "\x80":
-            buf.append(ord(c))
-            continue
-        try:
-            buf += c.encode(codec)
-            mapped = True
-        except UnicodeEncodeError:
-            two = c.encode("gb18030") if codec == "gbk" and c != "�" else b""
-            if len(two) == 2:  # places of the double-byte plane that stand for private characters
-                buf += two
-            else:
-                flush()
-                out.append(c)
-    flush()
-    return "".join(out) if mapped else None
-
-
-def narrow_reading(line: str, codec: str, written: str) -> str | None:
-    """``line`` with every maximal stretch of characters of the single-byte ``codec`` read in ``written``."""
+@lru_cache(maxsize=100_000)
+def _double(c: str, codec: str) -> bytes | None:
+    try:
+        return c.encode(codec)
+    except UnicodeEncodeError:
+        two = c.encode("gb18030") if codec == "gbk" and c != "�" else b""
+        return two if len(two) == 2 else None  # places of the double-byte plane that stand for private characters
+
+
+def narrow_stretches(line: str, codec: str) -> list[str | bytes] | None:
+    """The same for a single-byte ``codec``."""
     table = _char_bytes(codec)
-    out: list[str] = []
-    buf = bytearray()
-    mapped = False
 
-    def flush() -> None:
-        if buf:
-            out.append(_decode(bytes(buf), written, codec))
-            buf.clear()
+    def one(c: str) -> bytes | None:
+        b = table.get(c)
+        if b is None and "\x80" <= c <= "\x9f":
+            b = ord(c)
+        return None if b is None else bytes((b,))
 
-    for c in line:
-        o = ord(c)
-        if o < 0x80:
-            buf.append(o)
+    return _stretches(line, one)
+
+
+_ASCII_RUN = re.compile(r"[\x00-\x7f]+|[^\x00-\x7f]")
+
+
+def _stretches(line: str, to_bytes) -> list[str | bytes] | None:
+    out: list[str | bytes] = []
+    buf = bytearray()
+    mapped = False
+    for piece in _ASCII_RUN.findall(line):
+        if piece < "\x80":
+            buf += piece.encode("ascii")
             continue
-        b = table.get(c)
-        if b is None and 0x80 <= o <= 0x9F:
-            b = o
+        b = to_bytes(piece)
         if b is None:
-            flush()
-            out.append(c)
+            if buf:
+                out.append(bytes(buf))
+                buf.clear()
+            out.append(piece)
         else:
-            buf.append(b)
+            buf += b
             mapped = True
-    flush()
-    return "".join(out) if mapped else None
+    if buf:
+        out.append(bytes(buf))
+    return out if mapped else None
+
+
+def reading(stretches: list[str | bytes], written: str, keep: str | None = None) -> str:
+    """The stretches of bytes read in ``written``, the rest as it is."""
+    return "".join(x if isinstance(x, str) else _decode(x, written, keep) for x in stretches)
 
 
 def _cost(text: str, order: int, written: str = "", wide: bool = False) -> float:
@@ -327,22 +325,19 @@ def _line_repair(line: str) -> tuple[str, str, str] | None:
                 best = (b, new, read, "utf-8")
     if best is not None and best[0] < min(0.2, now / 2):
         return best[1:]
-    for k, (read, codec) in enumerate(READ_IN_WIDE.items()):
-        for j, written in enumerate(("utf-8", *WRITTEN_IN)):
-            if written == read:
-                continue
-            new = wide_reading(line, codec, written)
-            if new is not None and new != line:
-                b = _cost(new, k + j, written, True)
-                if best is None or b < best[0]:
-                    best = (b, new, read, written)
-    for k, read in enumerate(READ_IN):
-        for j, written in enumerate(WRITTEN_IN):
+    tried: set[str] = {line}
+    candidates = [(k, read, wide_stretches(line, codec), True) for k, (read, codec) in enumerate(READ_IN_WIDE.items())]
+    candidates += [(k, read, narrow_stretches(line, read), False) for k, read in enumerate(READ_IN)]
+    for k, read, parts, wide in candidates:
+        if parts is None:
+            continue
+        for j, written in enumerate(("utf-8", *WRITTEN_IN) if wide else WRITTEN_IN):
             if written == read:
                 continue
-            new = narrow_reading(line, read, written)
-            if new is not None and new != line:
-                b = _cost(new, k + j, written)
+            new = reading(parts, written, None if wide else read)
+            if new not in tried:
+                tried.add(new)
+                b = _cost(new, k + j, written, wide)
                 if best is None or b < best[0]:
                     best = (b, new, read, written)
     if best is not None and (best[0] < min(0.25, now / 2) or best[0] < now - 0.6):
