@@ -6,8 +6,9 @@ A line is a box (x0, y0, x1, y1) with text and score. Pages are small and bounde
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,24 +87,29 @@ def page_texts(lines: DataFrame, page: str) -> DataFrame:
     counted where they are as long as a line of print.
     """
     kind = lines.schema[page].dataType.simpleString()
+    fields = ("line_no", "x0", "y0", "x1", "y1", "text", "score")
+    pages = lines.groupBy(page).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("__ls"))
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values("line_no").reset_index(drop=True)
-        boxes = list(b[["x0", "y0", "x1", "y1"]].fillna(0.0).itertuples(index=False, name=None))
-        texts = [(t or "").strip() for t in b["text"]]
-        scores = b["score"].fillna(0.0).tolist()
+    def one(ls: list[dict]) -> tuple:
+        boxes = [tuple(float(x[c] or 0.0) for c in ("x0", "y0", "x1", "y1")) for x in ls]
+        texts = [(x["text"] or "").strip() for x in ls]
+        scores = [float(x["score"] or 0.0) for x in ls]
         order, layout = reading_order(boxes, [len(t) for t in texts])
-        sides = [(min(x1 - x0, y1 - y0), max(x1 - x0, y1 - y0)) for x0, y0, x1, y1 in boxes]
-        cells = [b / a if a > 0 else 0.0 for a, b in sides]
+        cells = [max(x1 - x0, y1 - y0) / min(x1 - x0, y1 - y0) if min(x1 - x0, y1 - y0) > 0 else 0.0 for x0, y0, x1, y1 in boxes]
         kept = [i for i in order if texts[i] and scores[i] >= KEEP]
-        dropped = sum(cells[i] >= CELLS for i in order if i not in set(kept))
-        short = [i for i in kept if cells[i] >= CELLS and len("".join(texts[i].split())) < 0.5 * cells[i]]
-        doubtful = sum(cells[i] >= CELLS and scores[i] < DOUBTFUL for i in kept if i not in set(short))
+        dropped = sum(cells[i] >= CELLS for i in set(order) - set(kept))
+        short = {i for i in kept if cells[i] >= CELLS and len("".join(texts[i].split())) < 0.5 * cells[i]}
+        doubtful = sum(cells[i] >= CELLS and scores[i] < DOUBTFUL for i in kept if i not in short)
         mean = sum(scores[i] for i in kept) / len(kept) if kept else 0.0
-        missed = missed_columns(boxes) if layout == "vertical" else 0
-        return pd.DataFrame({page: [b[page][0]], "text": ["\n".join(texts[i] for i in kept)], "layout": [layout], "lines": [len(kept)], "mean_score": [mean], "dropped": [dropped], "short": [len(short)], "doubtful": [doubtful], "missed": [missed]})
+        return "\n".join(texts[i] for i in kept), layout, len(kept), mean, dropped, len(short), doubtful, missed_columns(boxes) if layout == "vertical" else 0
 
-    return lines.groupBy(page).applyInPandas(run, f"`{page}` {kind}, text string, layout string, lines int, mean_score double, dropped int, short int, doubtful int, missed int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.string(), pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+        for b in batches:
+            rows = [one(ls) for ls in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names=[page, "text", "layout", "lines", "mean_score", "dropped", "short", "doubtful", "missed"])
+
+    return pages.mapInArrow(run, f"`{page}` {kind}, text string, layout string, lines int, mean_score double, dropped int, short int, doubtful int, missed int")
 
 
 def recognition_gate(pages: DataFrame, group: str) -> DataFrame:

@@ -10,6 +10,7 @@ from folioforge.functions.text import estimate
 from folioforge.operators import dedup, planning, provenance
 from folioforge.queries.sqltext import SPACE
 from folioforge.queries.sqltext import estimate as sql_estimate
+from folioforge.plans.parallel import spread
 from folioforge.sources import files, html, markdown
 from folioforge.sources.tables import table
 from folioforge.streaming import events as streams
@@ -29,7 +30,7 @@ def query(sql: str | None = None):
 
 
 def _prints(spark: SparkSession, root: str) -> DataFrame:
-    return dedup.prints(table(spark, root, "documents").select("doc_id", "text"), "doc_id")
+    return dedup.prints(spread(table(spark, root, "documents").select("doc_id", "text")), "doc_id")
 
 
 @query()
@@ -103,7 +104,7 @@ _NORM = rf"translate(regexp_replace({{0}}, '[\s\x{{{{85}}}}\x{{{{A0}}}}\x{{{{168
 
 
 def _checked(spark: SparkSession, root: str) -> DataFrame:
-    d = table(spark, root, "documents").select("doc_id", "text")
+    d = spread(table(spark, root, "documents").select("doc_id", "text"))
     return provenance.first_located(table(spark, root, "eval_items"), d, "item_id", "text", "doc_id", "text")
 
 

@@ -72,12 +72,12 @@ def name_match(spark: SparkSession, root: str) -> DataFrame:
     return a.select("title").join(hits, "title", "left").select("title", F.coalesce("matches", F.lit(0)).alias("matches"), "first_match")
 
 
-@query("SELECT DISTINCT tag FROM (SELECT lower(trim(unnest(topic_tags))) AS tag FROM extracts WHERE content_type = 'principle') WHERE tag <> '' AND tag NOT IN (SELECT lower(trim(t)) FROM (SELECT unnest(topic_tags) AS t FROM extracts WHERE content_type = 'quote' AND confidence = 'certain') WHERE t IS NOT NULL)")
+@query("SELECT DISTINCT tag FROM (SELECT lower(trim(unnest(topic_tags))) AS tag FROM extracts WHERE content_type = 'principle') WHERE tag <> '' AND tag NOT IN (SELECT lower(trim(t)) FROM (SELECT unnest(topic_tags) AS t FROM extracts WHERE content_type = 'quote' AND confidence = 'certain' AND language = 'en') WHERE t IS NOT NULL)")
 def uncovered_anti(spark: SparkSession, root: str) -> DataFrame:
-    """Topics of principles that no quotation called certain has."""
+    """Topics of principles that no English quotation called certain has."""
     e = table(spark, root, "extracts")
     tags = lambda d: d.select(F.explode("topic_tags").alias("t")).select(F.lower(F.trim("t")).alias("tag")).where("tag <> ''")
-    return tags(e.where("content_type = 'principle'")).distinct().join(tags(e.where("content_type = 'quote' and confidence = 'certain'")), "tag", "left_anti")
+    return tags(e.where("content_type = 'principle'")).distinct().join(tags(e.where("content_type = 'quote' and confidence = 'certain' and language = 'en'")), "tag", "left_anti")
 
 
 @query("SELECT source_title, round(count(*) FILTER (confidence = 'high')::DOUBLE / greatest(1, count(*)), 3) AS high_ratio, round(count(*) FILTER (text IS NOT NULL)::DOUBLE / greatest(1, count(*)), 3) AS text_ratio, round(count(DISTINCT content_type)::DOUBLE / 5, 3) AS kind_ratio FROM extracts GROUP BY 1")
