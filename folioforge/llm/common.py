@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.plans.parallel import spread  # noqa: F401
 from folioforge.sources.tables import table
 
 
@@ -16,15 +17,6 @@ def setting(spark: SparkSession, root: str, name: str) -> int:
     return int(row[0])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over at least as many tasks as the cluster has cores, for Python work on few input splits.
-
-    Input that already has that many splits is left alone, so that large tables are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 #: Names and codes of the twelve languages (fixed values).
 LANGUAGE_CODES = {
     "en": ("en", "eng", "english"), "zh": ("zh", "zho", "chi", "cmn", "chinese"), "fr": ("fr", "fra", "fre", "french"),
