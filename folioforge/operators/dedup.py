@@ -82,6 +82,7 @@ def classes(printed: DataFrame, key: str) -> DataFrame:
 def edges(printed: DataFrame, key: str, jaccard: float = JACCARD, contained: float = CONTAINED) -> DataFrame:
     """(small, big, inter, n_small, n_big, relation) between representatives: near_duplicate from ``jaccard`` on, else
     contained where ``contained`` of the smaller set lies in the larger. Of equally large sets the lesser key is small."""
+    printed = cut(printed)  # read three times below
     of = classes(printed, key)
     reps = cut(printed.join(of.where(F.col(key) == F.col("class_id")).select(key), key, "left_semi").select(F.col(key).alias("id"), "prints", F.size("prints").alias("n")))
     flat = reps.select("id", "n", F.explode("prints").alias("p"))
