@@ -36,20 +36,43 @@ FILTER_RUNS = 2_000_000
 
 _MARKUP = re.compile(r"<[^<>\n]{1,200}>|&[a-z]{2,8};|\]\([^()\s]*\)")
 _TERM = re.compile(r"[぀-ヿ㐀-鿿\U00020000-\U0002ffff]|(?:(?![぀-ヿ㐀-鿿])[^\W_])+")
-_DROPPED = re.compile(r"(?<=[^\W\d_])[*_~`]+(?=[^\W\d_])|(?<=[^\W\d_])['’‘ʼ](?=[^\W\d_])|[­​-‍⁠﻿]")
-_SIGN = re.compile(r"[぀-ヿ㐀-鿿\U00020000-\U0002ffff]")
+_RUN, _SIGNS, _OTHER = re.compile(r"[^\W_]+"), re.compile(r"[぀-ヿ㐀-鿿\U00020000-\U0002ffff]"), re.compile(r"[^぀-ヿ㐀-鿿\U00020000-\U0002ffff]")
+#: Signs that mark words up or stand within them; without them the words are the same.
+DROPPED = "*_~`'\u2019\u2018\u02bc\u00ad\u200b\u200c\u200d\u2060\ufeff"
+_WRAPPED = re.compile(r"[-‐¬]\r?\n")
 _WRAP = re.compile(r"(?<=[^\W\d_])[-‐¬]\r?\n(?=[^\W\d_])")
 
 
+#: What makes a text other than its canonical form, apart from punctuation, and signs that mark words up.
+_SPECIAL = re.compile("[\u00a0\u00ad\u0300-\u036f\u0370-\u052f\u1680\u2000-\u200f\u2028-\u202f\u205f-\u206f\u2e80-\u2fd5\u3000\u3099\u309a\uf900-\ufaff\ufb00-\ufdff\ufe00-\ufe0f\ufe70-\ufeff\uff10-\uff19\uff21-\uff3a\uff41-\uff5a\uff61-\uffdc\u2160-\u217f]")
+
+
 def terms(text: str | None) -> list[str]:
     """The terms of a text in order."""
     if not text:
         return []
     t = text
-    if not t.isascii():
-        t = unicodedata.normalize("NFKC", canonical(t))
-    t = _DROPPED.sub("", _WRAP.sub("", _MARKUP.sub(" ", t)))
-    return _TERM.findall(t.lower())
+    if not t.isascii() and _SPECIAL.search(t):
+        t = canonical(t)
+    if "<" in t or "&" in t or "](" in t:
+        t = _MARKUP.sub(" ", t)
+    if "\n" in t and _WRAPPED.search(t):
+        t = _WRAP.sub("", t)
+    for c in DROPPED:
+        if c in t:
+            t = t.replace(c, "")
+    words = _RUN.findall(t.lower())
+    if t.isascii():
+        return words
+    out: list[str] = []
+    for w in words:
+        if w < "\u3040" or w.isascii():  # begins below the scripts without spaces
+            out.extend(_TERM.findall(w) if _SIGNS.search(w) else (w,))
+        elif _OTHER.search(w):
+            out.extend(_TERM.findall(w))
+        else:
+            out.extend(w)
+    return out
 
 
 def _fold(terms_: list[str]) -> np.ndarray:
@@ -94,15 +117,15 @@ def runs(h: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signs(ts: list[str]) -> np.ndarray:
-    return np.fromiter((bool(_SIGN.match(t)) for t in ts), bool, len(ts))
+    return np.fromiter(("\u3040" <= t[0] <= "\u9fff" or t[0] >= "\U00020000" for t in ts), bool, len(ts))
 
 
 POSTING = "`{key}` {kind}, run bigint, position int"
 
 
-def postings(df: DataFrame, key: str, text: str, only: np.ndarray | None = None) -> DataFrame:
-    """(key, run, position) of every run of every text, or only of the runs in the sorted array ``only``. Null and
-    empty texts have none."""
+def postings(df: DataFrame, key: str, text: str, only: np.ndarray | None = None, least: int = 1) -> DataFrame:
+    """(key, run, position) of every run of every text, or only of the runs in the sorted array ``only``; texts with
+    fewer than ``least`` of them are left out. Null and empty texts have none."""
     kind = df.schema[key].dataType.simpleString()
     held = None if only is None else df.sparkSession.sparkContext.broadcast(only)
 
@@ -119,7 +142,7 @@ def postings(df: DataFrame, key: str, text: str, only: np.ndarray | None = None)
                     j = np.minimum(np.searchsorted(want, h), len(want) - 1)
                     hit = want[j] == h
                     h, p = h[hit], p[hit]
-                if len(h):
+                if len(h) >= least:
                     row.append(np.full(len(h), i))
                     rh.append(h)
                     rp.append(p)
@@ -199,7 +222,10 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str
         only = np.unique(np.array([r[0] for r in item_runs.select("run").distinct().collect()], np.int64).view(np.uint64))
         if not len(only):
             only = np.array([0], np.uint64)
-    index = cut(postings(docs, key, text, only))
+    size = cut(item_runs.groupBy(item_key).agg((F.max("at") + 1).alias("runs")))
+    # a candidate needs so many runs of an item; a document with fewer runs of all items together cannot be one
+    needed = size.agg(F.min(F.greatest(F.lit(1), F.ceil(F.col("runs") * SHARE * COVER)))).first()[0]
+    index = cut(postings(docs, key, text, only, int(needed or 1)))
     # rarest first: of each item's runs the rarest part must meet a document, before any longer list is opened
     frequency = index.groupBy("run").agg(F.count("*").alias("df"))
     order = Window.partitionBy(item_key).orderBy(F.coalesce("df", F.lit(0)), "run", "at")
@@ -211,7 +237,6 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str
     # intersection of the offset-adjusted lists: postings of one passage lie on one diagonal
     hits = cut(hits.select(key, item_key, F.col("position"), "at", F.floor((F.col("position") - F.col("at")) / (2 * DRIFT)).alias("band")))
     both = hits.select(key, item_key, "at", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    size = item_runs.groupBy(item_key).agg((F.max("at") + 1).alias("runs"))
     bands = both.groupBy(key, item_key, "band").agg(F.countDistinct("at").alias("n"))
     found = bands.join(size, item_key).where(F.col("n") >= F.greatest(F.lit(1), F.col("runs") * SHARE * COVER)).select(key, item_key).distinct()
     places = hits.join(found, [key, item_key], "left_semi").groupBy(key, item_key).agg(F.collect_list(F.struct("at", "position")).alias("places"))
