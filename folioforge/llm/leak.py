@@ -9,6 +9,7 @@ postings on one diagonal. Candidates are then checked term by term for the longe
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ RUN_WORDS, RUN_SIGNS = 3, 4
 #: Share of an item that a passage must hold, and of its terms that may be altered.
 SHARE, ALTERED = 0.5, 0.11
 #: How far insertions and deletions may shift a diagonal, and how much of the share runs must cover for a candidate.
-DRIFT, COVER = 12, 0.4
+DRIFT, COVER = 12, 0.5
 #: Share of an item's runs, the rarest, of which one must meet a document. A passage of half an item with every ninth
 #: term altered keeps over a third of the runs, so that it always meets one of them.
 RAREST = 0.8
@@ -123,11 +124,45 @@ def _signs(ts: list[str]) -> np.ndarray:
 POSTING = "`{key}` {kind}, run bigint, position int"
 
 
-def postings(df: DataFrame, key: str, text: str, only: np.ndarray | None = None, least: int = 1) -> DataFrame:
-    """(key, run, position) of every run of every text, or only of the runs in the sorted array ``only``; texts with
-    fewer than ``least`` of them are left out. Null and empty texts have none."""
+def needed(n: int) -> int:
+    """How many of an item's ``n`` runs a candidate must have on neighbouring diagonals. Half an item with every ninth
+    word altered keeps six of nine runs of that half (of nine signs, five), but for those at its ends."""
+    return max(1, math.floor(n * SHARE * COVER) - 2)
+
+
+class Wanted:
+    """The runs of all items, as sorted arrays: what a task needs to leave out runs and documents that cannot matter."""
+
+    def __init__(self, rows: list[tuple[int, int, int, int]]):
+        """rows: (run, item number, place in the item, runs that a candidate must have of the item)."""
+        t = np.array(sorted(rows), np.int64).reshape(-1, 4)
+        t = t[np.argsort(t[:, 0].view(np.uint64) if len(t) else t[:, 0], kind="stable")]
+        self.runs, self.first, self.many = np.unique(t[:, 0].astype(np.int64).view(np.uint64), return_index=True, return_counts=True)
+        self.item, self.at = t[:, 1], t[:, 2]
+        self.need = np.zeros(int(self.item.max()) + 1 if len(t) else 1, np.int64)
+        self.need[self.item] = t[:, 3]
+        self.least = int(self.need[self.need > 0].min()) if len(t) else 1
+
+    def keep(self, h: np.ndarray) -> np.ndarray:
+        """Which runs of a text belong to an item of which the text has as many different runs as a candidate must."""
+        if not len(self.runs) or not len(h):
+            return np.zeros(len(h), bool)
+        j = np.minimum(np.searchsorted(self.runs, h), len(self.runs) - 1)
+        hit = self.runs[j] == h
+        if hit.sum() < self.least:
+            return np.zeros(len(h), bool)
+        u = np.unique(j[hit])
+        rows = np.repeat(self.first[u] - np.concatenate([[0], np.cumsum(self.many[u])[:-1]]), self.many[u]) + np.arange(self.many[u].sum())
+        enough = np.bincount(self.item[rows], minlength=len(self.need)) >= self.need
+        good = u[np.add.reduceat(enough[self.item[rows]].astype(np.int64), np.concatenate([[0], np.cumsum(self.many[u])[:-1]])) > 0]
+        return hit & np.isin(j, good)
+
+
+def postings(df: DataFrame, key: str, text: str, wanted: Wanted | None = None) -> DataFrame:
+    """(key, run, position) of every run of every text, or only of those that ``wanted`` keeps. Null and empty texts have
+    none."""
     kind = df.schema[key].dataType.simpleString()
-    held = None if only is None else df.sparkSession.sparkContext.broadcast(only)
+    held = None if wanted is None else df.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -137,12 +172,10 @@ def postings(df: DataFrame, key: str, text: str, only: np.ndarray | None = None,
                 if not ts:
                     continue
                 h, p = runs(_fold(ts), _signs(ts))
-                if held is not None and len(h):
-                    want = held.value
-                    j = np.minimum(np.searchsorted(want, h), len(want) - 1)
-                    hit = want[j] == h
-                    h, p = h[hit], p[hit]
-                if len(h) >= least:
+                if held is not None:
+                    keep = held.value.keep(h)
+                    h, p = h[keep], p[keep]
+                if len(h):
                     row.append(np.full(len(h), i))
                     rh.append(h)
                     rp.append(p)
@@ -217,15 +250,13 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str
     Repeated documents count each with its own key.
     """
     item_runs = cut(postings(items.where(F.col(item_text).isNotNull()), item_key, item_text).withColumnRenamed("position", "at"))
-    only = None
-    if small_enough(item_runs, FILTER_RUNS):
-        only = np.unique(np.array([r[0] for r in item_runs.select("run").distinct().collect()], np.int64).view(np.uint64))
-        if not len(only):
-            only = np.array([0], np.uint64)
     size = cut(item_runs.groupBy(item_key).agg((F.max("at") + 1).alias("runs")))
-    # a candidate needs so many runs of an item; a document with fewer runs of all items together cannot be one
-    needed = size.agg(F.min(F.greatest(F.lit(1), F.ceil(F.col("runs") * SHARE * COVER)))).first()[0]
-    index = cut(postings(docs, key, text, only, int(needed or 1)))
+    wanted = None
+    if small_enough(item_runs, FILTER_RUNS):
+        need = {r[0]: needed(r[1]) for r in size.collect()}
+        number = {k: i for i, k in enumerate(need)}
+        wanted = Wanted([(r[0], number[r[1]], r[2], need[r[1]]) for r in item_runs.select("run", item_key, "at").collect()])
+    index = cut(postings(docs, key, text, wanted))
     # rarest first: of each item's runs the rarest part must meet a document, before any longer list is opened
     frequency = index.groupBy("run").agg(F.count("*").alias("df"))
     order = Window.partitionBy(item_key).orderBy(F.coalesce("df", F.lit(0)), "run", "at")
@@ -238,7 +269,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str
     hits = cut(hits.select(key, item_key, F.col("position"), "at", F.floor((F.col("position") - F.col("at")) / (2 * DRIFT)).alias("band")))
     both = hits.select(key, item_key, "at", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
     bands = both.groupBy(key, item_key, "band").agg(F.countDistinct("at").alias("n"))
-    found = bands.join(size, item_key).where(F.col("n") >= F.greatest(F.lit(1), F.col("runs") * SHARE * COVER)).select(key, item_key).distinct()
+    found = bands.join(size, item_key).where(F.col("n") >= F.greatest(F.lit(1), F.floor(F.col("runs") * SHARE * COVER) - 2)).select(key, item_key).distinct()
     places = hits.join(found, [key, item_key], "left_semi").groupBy(key, item_key).agg(F.collect_list(F.struct("at", "position")).alias("places"))
     texts = places.join(docs.select(F.col(key), F.col(text).alias("doc_text")), key).join(items.select(F.col(item_key), F.col(item_text).alias("item_body")), item_key)
     return _check(texts.select(key, item_key, "places", "doc_text", "item_body"), key, item_key)
@@ -249,6 +280,7 @@ def _check(candidates: DataFrame, key: str, item_key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached: dict[str, np.ndarray] = {}
+        last, dt = None, None  # rows of one document follow each other
         for b in batches:
             keep, share, altered, where = [], [], [], []
             places, doc_texts, bodies = (b.column(i).to_pylist() for i in (2, 3, 4))
@@ -256,7 +288,8 @@ def _check(candidates: DataFrame, key: str, item_key: str) -> DataFrame:
                 it = cached.get(t)
                 if it is None:
                     it = cached[t] = _fold(terms(t))
-                dt = _fold(terms(d))
+                if d != last:
+                    last, dt = d, _fold(terms(d))
                 _, n, x, at = longest_passage(it, dt, [(p["at"], p["position"]) for p in ps])
                 if len(it) and n >= SHARE * len(it):
                     keep.append(i)

@@ -152,7 +152,7 @@ def test_encoding_leaves_sound_text(spark):
 # 4 scanned pages
 
 
-def test_scanned_noise(spark):
+def test_scanned_noise(spark, monkeypatch):
     clean = "The market was closed when the others came home and nobody said a word about the measure of salt. "
     rows = [(i, clean * 2, "a.txt", "s1", "T", "x") for i in range(8)]
     noisy = {
@@ -164,6 +164,8 @@ def test_scanned_noise(spark):
     marks = ocr.marked(df)
     got = {r["segment_id"]: r["noisy"] for r in marks.collect()}
     assert {k for k, v in got.items() if v} == set(noisy)
+    monkeypatch.setattr(ocr, "BROADCAST_ROWS", 0)  # too many corrections to be broadcast
+    assert {r["segment_id"]: r["noisy"] for r in ocr.marked(df).collect()} == got
     text = {r["segment_id"]: r["text"] for r in ocr.reflowed(marks).collect()}
     assert text[20] == "The market was closed" and text[21] == "The market was closed when" and text[22] == text[23] == text[24] == "when the others came home"
     assert text[25] == "the market was closed" and text[40].startswith("--- Page 3 ---\n\nThe") and text[45] == "Heading\n\nThe market was closed"
@@ -280,7 +282,7 @@ ITEM = "In the year 479 Glanax was offered an unsigned promise of grain by an im
 ZH = "设想有个叫蔺騄翀的镇子契纸由两个人的笔迹各抄过一遍而阚騄守着六头骡子却没有车蔺騄翀翻出的纸条上写着两个堂弟为界石争执不休"
 
 
-def test_leaks(spark):
+def test_leaks(spark, monkeypatch):
     words = ITEM.split()
     altered = [w if i % 11 else "other" for i, w in enumerate(words)]
     noise = "completely different words stand here and there about salt and the old survey"
@@ -293,6 +295,8 @@ def test_leaks(spark):
     items = spark.createDataFrame([(1, ITEM), (2, ZH), (3, None), (4, "")], "item_id bigint, text string")
     got = {(r["doc_id"], r["item_id"]) for r in leak.leaks(d.select("doc_id", "text"), items).collect()}
     assert got == {(1, 1), (2, 1), (4, 1), (8, 1), (9, 1), (10, 2), (11, 2), (12, 1), (14, 1), (15, 1)}
+    monkeypatch.setattr(leak, "FILTER_RUNS", 0)  # too many items to be sent to all tasks
+    assert {(r["doc_id"], r["item_id"]) for r in leak.leaks(d.select("doc_id", "text"), items).collect()} == got
     assert leak.leaks(d.select("doc_id", "text").limit(0), items).count() == 0 and leak.leaks(d.select("doc_id", "text"), items.limit(0)).count() == 0
 
 
