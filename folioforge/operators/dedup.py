@@ -20,7 +20,6 @@ from folioforge.plans.lineage import cut
 GRAM, KEEP_MOD = 8, 8
 JACCARD, CONTAINED = 0.85, 0.9
 
-_TABLE = np.array([zlib.crc32(bytes([i])) for i in range(256)], dtype=np.uint32)
 _RAW = np.zeros(256, np.uint32)
 for _i in range(256):
     _c = _i
