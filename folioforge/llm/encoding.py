@@ -32,10 +32,10 @@ LOST = 3
 #: The byte structure of the multibyte encodings (fixed values).
 UTF8 = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3})")
 STRUCTURE = {
-    "gb18030": re.compile(rb"(?:[\xa1-\xf7][\xa1-\xfe]|[\x81-\xfe][\x40-\x7e\x80-\xfe])+"),
-    "big5": re.compile(rb"(?:[\xa1-\xf9][\x40-\x7e\xa1-\xfe])+"),
-    "shift_jis": re.compile(rb"(?:[\x81-\x9f\xe0-\xef][\x40-\x7e\x80-\xfc]|[\xa1-\xdf])+"),
-    "euc_jp": re.compile(rb"(?:[\xa1-\xf4][\xa1-\xfe]|\x8e[\xa1-\xdf])+"),
+    "gb18030": re.compile(rb"(?:[\x81-\xfe][\x40-\x7e\x80-\xfe]|[\x81-\xfe][\x30-\x39][\x81-\xfe][\x30-\x39])+"),
+    "big5": re.compile(rb"(?:[\x81-\xfe][\x40-\x7e\xa1-\xfe])+"),
+    "shift_jis": re.compile(rb"(?:[\x81-\x9f\xe0-\xfc][\x40-\x7e\x80-\xfc]|[\xa1-\xdf])+"),
+    "euc_jp": re.compile(rb"(?:[\xa1-\xfe][\xa1-\xfe]|\x8e[\xa1-\xdf]|\x8f[\xa1-\xfe][\xa1-\xfe])+"),
 }
 
 #: Frequent signs of scripts in which every byte pair is well formed; they tell right readings from chance ones.
@@ -223,23 +223,29 @@ def utf8_spans(text: str, codec: str) -> tuple[str, int] | None:
 
 
 def _decode(data: bytes, written: str, keep: str | None) -> str:
-    """``data`` read in ``written``; for UTF-8 only its maximal well-formed spans are, and other high bytes stay as the
-    characters of ``keep`` (an encoding) or become signs of loss."""
-    if written != "utf-8":
+    """``data`` read in ``written``. Of a multibyte encoding only the maximal spans with its byte structure are decoded;
+    other high bytes stay as the characters of ``keep`` (an encoding) or become one sign of loss a stretch."""
+    spans = SPANS.get(written)
+    if spans is None:
         return data.decode(written, "replace")
     out, last = [], 0
-    for m in UTF8_RUN.finditer(data):
-        s, e = m.span()
-        out.append(data[last:s].decode(keep, "replace") if keep else HIGH.sub(b"?", data[last:s]).decode("ascii").replace("?", "�") if HIGH.search(data[last:s]) else data[last:s].decode("ascii"))
-        out.append(m.group().decode("utf-8"))
-        last = e
-    tail = data[last:]
-    out.append(tail.decode(keep, "replace") if keep else HIGH.sub(b"?", tail).decode("ascii").replace("?", "�") if HIGH.search(tail) else tail.decode("ascii"))
+    for m in spans.finditer(data):
+        out.append(_outside(data[last : m.start()], keep))
+        out.append(m.group().decode(written, "replace"))
+        last = m.end()
+    out.append(_outside(data[last:], keep))
     return "".join(out)
 
 
-UTF8_RUN = re.compile(rb"(?:" + UTF8.pattern + rb")+")
+def _outside(data: bytes, keep: str | None) -> str:
+    if keep:
+        return data.decode(keep, "replace")
+    return "�".join(x.decode("ascii") for x in HIGH.split(data)) if HIGH.search(data) else data.decode("ascii")
+
+
 HIGH = re.compile(rb"[\x80-\xff]+")
+#: Automata of the multibyte encodings: each finds the maximal well-formed spans.
+SPANS = {"utf-8": re.compile(rb"(?:" + UTF8.pattern + rb")+"), **STRUCTURE}
 
 
 def wide_stretches(line: str, codec: str) -> list[str | bytes] | None:
