@@ -136,7 +136,6 @@ def _spans(line: str) -> list[tuple[int, int, bool]]:
     return out
 
 
-_CLOSE = re.compile(r"[”\"»’」』）)\]】›“]*")
 _PLAIN = re.compile(r"[\"“”«»„「」『』《》〈〉(（)）\[\]【】‹›‚]")
 
 
