@@ -28,6 +28,8 @@ from folioforge.llm.common import LANGUAGES, label_language
 ORDER, REMEMBER = 4, 300_000
 #: Lead in nats under which a line is never given to another language than its text's.
 LEAST_LEAD = 20.0
+#: Letters that such a line has at least (a heading of two or three words says too little), and signs without spaces.
+LEAST_LETTERS, LEAST_SIGNS = 24, 8
 #: Bound of the training sample: rows per language, and lines of one row.
 SAMPLE_ROWS, SAMPLE_LINES = 150, 40
 SPAN = 1 << 40
@@ -50,6 +52,7 @@ SEED = {
 
 #: A word: letters of an alphabet, one or two ideographs, a run of kana, or a few signs of a script without spaces.
 WORD = re.compile(r"[぀-ヿ]{1,4}|[㐀-鿿]{1,2}|[฀-๿]{1,5}|(?:(?![぀-ヿ㐀-鿿฀-๿])[^\W\d_]|[ऀ-ॿ])+(?:['’](?![^\W\d_]*[A-Z])[^\W\d_]+)?")
+NO_SPACES = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\u0e00-\u0e7f]{4}")
 KANA, HAN = re.compile(r"[぀-ヺー-ヿ]"), re.compile(r"[㐀-鿿]")
 BRACKETED = re.compile(r"[(（\[【][^)）\]】\n]*[)）\]】]")
 
@@ -201,17 +204,20 @@ def _count(rows: list[tuple[str, str]]) -> dict[str, Counter]:
 
 def train(rows: list[tuple[str, str]], languages: tuple[str, ...] = LANGUAGES) -> Model:
     """Model of (language, text) rows. Labels may be wrong: lines that another language explains better are dropped
-    after a first fit, then the threshold of rejection is the lead that keeps 99 % of held-out lines right."""
+    first, then the threshold of rejection is the lead that keeps 99 % of held-out lines right."""
     seed = [(k, v) for k, v in SEED.items() if k in languages]
     lines = [(k, x) for k, t in rows if k in languages for x in t.splitlines()[:SAMPLE_LINES] if len(x) > 15]
     test, use = lines[::10], [x for i, x in enumerate(lines) if i % 10]
+    for _ in range(2):  # each half is judged by a model of the other, so that no line speaks for its own label
+        halves = [use[0::2], use[1::2]]
+        kept = []
+        for own, other in (halves, halves[::-1]):
+            if own:
+                judge = Model(_count(seed * 3 + other))
+                top, lead, _, _ = judge.best([x for _, x in own])
+                kept += [r for r, t, d in zip(own, top, lead) if judge.languages[t] == r[0] or d < 2]
+        use = kept
     model = Model(_count(seed * 3 + use))
-    for _ in range(2):
-        if not use:
-            break
-        top, lead, _, _ = model.best([x for _, x in use])
-        use = [r for r, t, d in zip(use, top, lead) if model.languages[t] == r[0] or d < 2]
-        model = Model(_count(seed + use))
     leads = []
     if test:
         top, lead, _, _ = model.best([x for _, x in test])
@@ -271,7 +277,8 @@ def passage_languages(model: Model, texts: list[str | None]) -> list[list[tuple[
     over_main = s[at, top] - s[at, main]
     lead = np.sort(s, axis=1)
     lead = lead[:, -1] - lead[:, -2] if s.shape[1] > 1 else np.full(len(s), 99.0)
-    solid = (np.minimum(lead, over_main) >= model.threshold) & (chars >= 8)
+    least = np.fromiter((LEAST_SIGNS if NO_SPACES.search(x) else LEAST_LETTERS for x in lines), np.int64, len(lines))
+    solid = (np.minimum(lead, over_main) >= model.threshold) & (chars >= least)
     lang = np.where(solid, top, main)
     conf = np.where(solid | (top == main), np.minimum(lead, 50), 0.0)
     total: dict[tuple[int, int], list[float]] = {}
