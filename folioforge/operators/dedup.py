@@ -99,25 +99,59 @@ def edges(printed: DataFrame, key: str, jaccard: float = JACCARD, contained: flo
     return both.where(near | inside).select(F.col("a").alias("small"), F.col("b").alias("big"), "inter", F.col("na").alias("n_small"), F.col("nb").alias("n_big"), F.when(near, "near_duplicate").otherwise("contained").alias("relation"))
 
 
-def resolved(links: DataFrame, rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
+    """(id, component) of the ids in ``links`` (u, v): component is the least id that can be reached. Large and small stars
+    in turn until a round changes nothing; the rounds grow with the logarithm of the longest path."""
+    star = cut(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    while True:
+        both = star.union(star.select("v", "u"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = cut(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").union(lower.select("u", F.col("m").alias("v")))
+        new = cut(small.distinct())
+        if new.join(star, ["u", "v"], "left_anti").isEmpty() and star.join(new, ["u", "v"], "left_anti").isEmpty():
+            break
+        star = new
+    return star.select(F.col("u").alias("id"), F.col("v").alias("component")).union(star.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def resolved(links: DataFrame) -> DataFrame:
     """(dropped, kept, relation): first come, first kept, over the links of :func:`edges`.
 
-    A near duplicate gives way to the lesser id, a contained text to its container where that is kept. Decided in rounds:
-    an id all of whose betters are decided is kept, unless one of them is kept; the rounds end when all are decided.
+    A near duplicate gives way to the lesser id, a contained text to its container. As in the reference the links are met in
+    the order of their lesser, then their greater id, and one counts only while neither text is dropped; so each linked
+    group is read once in that order, holding the ids it drops, and nothing stays undecided. Where the text that another
+    gave way to is dropped later, kept is the one that stands at the end; relation is that of the deciding link.
     """
-    rule = links.select(F.when(F.col("relation") == "near_duplicate", F.greatest("small", "big")).otherwise(F.col("small")).alias("worse"), F.when(F.col("relation") == "near_duplicate", F.least("small", "big")).otherwise(F.col("big")).alias("better"), "relation")
-    rule = cut(rule)
-    state = cut(rule.select(F.col("worse").alias("id")).union(rule.select(F.col("better").alias("id"))).distinct().withColumn("state", F.lit(None).cast("string")))
-    for _ in range(rounds):
-        b = state.select(F.col("id").alias("better"), F.col("state").alias("bs"))
-        seen = rule.join(b, "better").groupBy(F.col("worse").alias("id")).agg(F.max(F.when(F.col("bs") == "kept", 1).otherwise(0)).alias("beaten"), F.max(F.when(F.col("bs").isNull(), 1).otherwise(0)).alias("open"))
-        new = F.coalesce("state", F.when(F.coalesce("beaten", F.lit(0)) == 1, "dropped").when(F.coalesce("open", F.lit(0)) == 0, "kept"))
-        state = cut(state.join(seen, "id", "left").select("id", new.alias("state")))
-        if state.where("state is null").isEmpty():
-            break
-    kept = state.where("state = 'kept' or state is null").select(F.col("id").alias("better"))
-    gone = state.where("state = 'dropped'").select(F.col("id").alias("worse"))
-    return rule.join(gone, "worse", "left_semi").join(kept, "better", "left_semi").groupBy(F.col("worse").alias("dropped")).agg(F.min("better").alias("kept"), F.min_by("relation", "better").alias("relation"))
+    near = F.col("relation") == "near_duplicate"
+    rule = cut(links.select(F.least("small", "big").alias("u"), F.greatest("small", "big").alias("v"), F.when(near, F.greatest("small", "big")).otherwise(F.col("small")).alias("worse"), F.when(near, F.least("small", "big")).otherwise(F.col("big")).alias("better"), "relation"))
+    of = components(rule.select("u", "v"))
+    ordered = rule.join(of.withColumnRenamed("id", "u"), "u").repartition("component").sortWithinPartitions("component", "u", "v").select("component", "worse", "better", "relation")
+    kind = links.schema["small"].dataType.simpleString()
+    names = ["dropped", "kept", "relation"]
+
+    def settled(gone: dict, ids: pa.DataType) -> pa.RecordBatch:
+        last: dict = {}  # the one that stands at the end, by dropped id
+        for k in reversed(gone):  # a text that gave way is met no more, so its better one was dropped later
+            last[k] = last.get(gone[k][0], gone[k][0])
+        return pa.RecordBatch.from_arrays([pa.array(list(gone), ids), pa.array([last[k] for k in gone], ids), pa.array([r for _, r in gone.values()], pa.string())], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, gone, ids = None, {}, None
+        for b in batches:
+            ids = b.column(1).type
+            for c, worse, better, relation in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if c != now:
+                    if gone:
+                        yield settled(gone, ids)
+                    now, gone = c, {}
+                if worse not in gone and better not in gone:
+                    gone[worse] = (better, relation)
+        if gone:
+            yield settled(gone, ids)
+
+    return ordered.mapInArrow(run, f"dropped {kind}, kept {kind}, relation string")
 
 
 def exact_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -133,6 +133,36 @@ def test_near_duplicates_against_brute_force(spark):
     assert gone and not set(gone) & set(gone.values())
 
 
+def first_come(links):
+    """The reference's rule, pair by pair."""
+    gone = {}
+    for s, b, relation in sorted(links, key=lambda x: (min(x[:2]), max(x[:2]))):
+        worse, better = (max(s, b), min(s, b)) if relation == "near_duplicate" else (s, b)
+        if worse not in gone and better not in gone:
+            gone[worse] = better
+    return gone
+
+
+def resolved_of(spark, links, kind="int"):
+    return {r["dropped"]: r["kept"] for r in dedup.resolved(spark.createDataFrame(links, f"small {kind}, big {kind}, relation string")).collect()}
+
+
+def test_resolved_cycles_and_long_chains(spark):
+    # x < z < y: x in y, z near x, y near z; all three waited for each other
+    assert resolved_of(spark, [(1, 3, "contained"), (1, 2, "near_duplicate"), (2, 3, "near_duplicate")]) == {2: 3, 1: 3}
+    chain = [(f"v{i:03}", f"v{i + 1:03}", "near_duplicate") for i in range(130)]  # deeper than 50 rounds
+    assert resolved_of(spark, chain, "string") == {f"v{i:03}": f"v{i - 1:03}" for i in range(1, 131, 2)}
+    assert resolved_of(spark, [(i, i + 1, "contained") for i in range(60)]) == dict.fromkeys(range(60), 60)
+    rng = random.Random(8)
+    links = {}
+    for _ in range(220):
+        a, b = rng.sample(range(200), 2)
+        links[min(a, b), max(a, b)] = (a, b, rng.choice(["near_duplicate", "contained"]))
+    got = resolved_of(spark, list(links.values()))
+    want = first_come(links.values())
+    assert set(got) == set(want) and not set(got) & set(got.values()) and all(got[k] == want[k] or want[k] in want for k in want)
+
+
 def test_exact_duplicates_and_survivors(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, None)], "k int, text string")
     assert {r["k"]: r["duplicate_of"] for r in dedup.exact_duplicates(df, "k", "text").collect()} == {1: None, 2: None, 3: 1, 4: None, 5: None}
