@@ -7,6 +7,7 @@ share a given part of its grams must share one of them), so that grams which a t
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -55,33 +56,45 @@ def prints_of(text: str | None, n: int = GRAM, keep_mod: int = KEEP_MOD) -> np.n
     return np.unique(crc[crc % keep_mod == 0])
 
 
+def whole_of(text: str | None) -> str | None:
+    """Digest of the letters and digits of a text, of its other signs where it has none; null for null."""
+    if text is None:
+        return None
+    return hashlib.sha256((solid_text(text) or "".join(text.split())).encode("utf-8", "replace")).hexdigest()
+
+
 def prints(df: DataFrame, key: str, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """key, kept columns, prints array<bigint>. Null and short texts have an empty array."""
+    """key, kept columns, prints array<bigint>, whole. Null and short texts have an empty array; whole is the digest of a
+    text of which no gram was sampled, null for null and all others."""
     source = df.select(key, *keep, F.col(text).alias("__text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
     n = 1 + len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [prints_of(t) for t in b.column(n).to_pylist()]
+            texts = b.column(n).to_pylist()
+            sets = [prints_of(t) for t in texts]
             flat = np.concatenate(sets).astype(np.int64) if sets else np.zeros(0, np.int64)
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[key, *keep, "prints"])
+            whole = pa.array([None if len(s) else whole_of(t) for s, t in zip(sets, texts)], pa.string())
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), whole], names=[key, *keep, "prints", "whole"])
 
-    return source.mapInArrow(run, f"{types}, prints array<bigint>")
+    return source.mapInArrow(run, f"{types}, prints array<bigint>, whole string")
 
 
 def classes(printed: DataFrame, key: str) -> DataFrame:
-    """(key, class_id): class_id is the least key of the texts with the same set of prints. Empty sets are no class."""
-    h = printed.where(F.size("prints") > 0).select(key, F.xxhash64("prints").alias("a"), F.crc32(F.concat_ws(",", F.col("prints").cast("array<string>")).cast("binary")).alias("b"))
-    least = h.groupBy("a", "b").agg(F.min(key).alias("class_id"))
-    return h.join(least, ["a", "b"]).select(key, "class_id")
+    """(key, class_id) of every row: class_id is the least key of the texts with the same set of prints, where that is
+    empty of those with the same letters and digits. Null texts are each a class of their own."""
+    by_set = F.concat_ws("-", F.xxhash64("prints"), F.crc32(F.concat_ws(",", F.col("prints").cast("array<string>")).cast("binary")))
+    h = printed.select(key, F.when(F.size("prints") > 0, by_set).otherwise(F.col("whole")).alias("same"))
+    least = h.where("same is not null").groupBy("same").agg(F.min(key).alias("class_id"))
+    return h.join(least, "same", "left").select(key, F.coalesce("class_id", key).alias("class_id"))
 
 
 def edges(printed: DataFrame, key: str, jaccard: float = JACCARD, contained: float = CONTAINED) -> DataFrame:
     """(small, big, inter, n_small, n_big, relation) between representatives: near_duplicate from ``jaccard`` on, else
     contained where ``contained`` of the smaller set lies in the larger. Of equally large sets the lesser key is small."""
-    printed = cut(printed)  # read three times below
+    printed = cut(printed.where(F.size("prints") > 0).select(key, "prints", "whole"))  # read three times below
     of = classes(printed, key)
     reps = cut(printed.join(of.where(F.col(key) == F.col("class_id")).select(key), key, "left_semi").select(F.col(key).alias("id"), "prints", F.size("prints").alias("n")))
     flat = reps.select("id", "n", F.explode("prints").alias("p"))

@@ -133,6 +133,14 @@ def test_near_duplicates_against_brute_force(spark):
     assert gone and not set(gone) & set(gone.values())
 
 
+def test_every_text_has_a_class(spark):
+    long = "a text of which some grams are sampled, as it is long enough for that, " * 3
+    texts = ["short", "Short?", "sho-rt", None, None, "", " ", "???", "!!!", long, long.replace(",", "")]
+    assert len(dedup.prints_of(long)) and not any(len(dedup.prints_of(t)) for t in texts[:9])
+    got = {r["k"]: r["class_id"] for r in dedup.classes(dedup.prints(spark.createDataFrame(list(enumerate(texts)), "k int, t string"), "k", "t"), "k").collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8, 9: 9, 10: 9}
+
+
 def first_come(links):
     """The reference's rule, pair by pair."""
     gone = {}
