@@ -185,13 +185,51 @@ def postings(df: DataFrame, key: str, text: str, wanted: Wanted | None = None) -
     return df.select(F.col(key), F.col(text).alias("text")).mapInArrow(run, POSTING.format(key=key, kind=kind))
 
 
+def _distance(x: list[int], y: list[int]) -> int:
+    """Terms altered, lost or put in between two stretches."""
+    row = list(range(len(y) + 1))
+    for i, c in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, d in enumerate(y, 1):
+            last, row[j] = row[j], last if c == d else 1 + min(last, row[j], row[j - 1])
+    return row[-1]
+
+
+def _further(x: list[int], y: list[int], most: int) -> tuple[int, int]:
+    """(terms, altered) by which an equal stretch goes on into ``x`` and ``y`` beyond an altered term, with at most ``most``
+    altered: up to the last equal term where the equal ones outnumber the altered ones by most, or are as many."""
+    best, more = (0, 0), 0
+    row = list(range(min(len(y), most) + 1))
+    for i, c in enumerate(x, 1):
+        # columns beyond ``most`` off the diagonal cannot be reached
+        new, end = [i], most + 1
+        for j in range(1, min(len(y), i + most) + 1):
+            step = row[j - 1]
+            if c == y[j - 1]:
+                end = min(end, step)
+            else:
+                step = 1 + min(step, new[-1], row[j] if j < len(row) else most + 1)
+            new.append(step)
+        row = new
+        if end <= most and i - 2 * end >= more:
+            best, more = (i, end), i - 2 * end
+        if min(row) > most:
+            break
+    return best
+
+
 def longest_passage(item: np.ndarray, doc: np.ndarray, pairs: list[tuple[int, int]]) -> tuple[int, int, int, int]:
     """The longest stretch of ``item`` that ``doc`` holds with at most the allowed share altered: (first term, terms,
     altered, position in doc). ``pairs``: places (item, doc) of shared runs.
 
-    Equal stretches around the shared runs are chained by their places; between two of them the larger of the two gaps
-    counts as altered.
+    Equal stretches around the shared runs are chained by their places; what lies between two of them is compared term by
+    term, so that equal terms there do not count as altered, and so are both ends.
     """
+    xs, ys = item.tolist(), doc.tolist()
+    most = int(ALTERED * len(item))
+    wide = RUN_SIGNS * (most + 1)  # a longer stretch holds a run or is altered too much
+    apart: dict[tuple[int, int, int, int], int] = {}
+    ahead: dict[tuple[int, int], tuple[int, int]] = {}
     blocks: list[tuple[int, int, int]] = []
     done: set[tuple[int, int]] = set()
     for i, d in sorted(set(pairs), key=lambda x: (x[1] - x[0], x[0])):
@@ -212,10 +250,18 @@ def longest_passage(item: np.ndarray, doc: np.ndarray, pairs: list[tuple[int, in
     for s in range(len(blocks)):
         a0, b0, n0 = blocks[s]
         ia, ib, altered = a0 + n0, b0 + n0, 0
-        if n0 > best[1]:
-            best = (a0, n0, 0, b0)
+        head = _further(xs[max(0, a0 - wide) : a0][::-1], ys[max(0, b0 - wide - most) : b0][::-1], most) if a0 and b0 else (0, 0)
+        if len(item) - a0 + head[0] <= best[1]:
+            continue
         k = s
         while True:
+            tail = ahead.get((ia, ib))
+            if tail is None:
+                tail = ahead[ia, ib] = _further(xs[ia : ia + wide], ys[ib : ib + wide + most], most)
+            for before, after in ((head, tail), (head, (0, 0)), ((0, 0), tail), ((0, 0), (0, 0))):
+                size, x = before[0] + ia - a0 + after[0], before[1] + altered + after[1]
+                if x <= ALTERED * size and size > best[1]:
+                    best = (a0 - before[0], size, x, max(0, b0 - before[0]))
             nxt = None
             for j in range(k + 1, len(blocks)):
                 a, b, n = blocks[j]
@@ -231,12 +277,12 @@ def longest_passage(item: np.ndarray, doc: np.ndarray, pairs: list[tuple[int, in
                     nxt = (gap, j, a + over, b + over, n - over)
             if nxt is None:
                 break
-            gap, k, a, b, n = nxt
+            _, k, a, b, n = nxt
+            gap = apart.get((ia, ib, a, b))
+            if gap is None:
+                gap = apart[ia, ib, a, b] = _distance(xs[ia:a], ys[ib:b])
             altered += gap
             ia, ib = a + n, b + n
-            size = ia - a0
-            if altered <= ALTERED * size and size > best[1]:
-                best = (a0, size, altered, b0)
             if altered > ALTERED * len(item) + 3:
                 break
     return best

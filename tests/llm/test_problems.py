@@ -1,11 +1,13 @@
 """The ten problems: small fixtures, brute force, round trips, nulls, empty tables, repeated rows, clashing columns."""
 
 import glob
+import math
 import os
 import random
 import unicodedata
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -282,6 +284,33 @@ ITEM = "In the year 479 Glanax was offered an unsigned promise of grain by an im
 ZH = "设想有个叫蔺騄翀的镇子契纸由两个人的笔迹各抄过一遍而阚騄守着六头骡子却没有车蔺騄翀翻出的纸条上写着两个堂弟为界石争执不休"
 
 
+@pytest.mark.parametrize(("size", "run"), [(127, leak.RUN_SIGNS), (65, leak.RUN_WORDS)])
+@pytest.mark.parametrize("share", [0.5, 0.6, 1.0])
+def test_leak_passages_with_alterations_anywhere(size, run, share):
+    rng = random.Random(9)
+    found = 0
+    for _ in range(100):
+        item = rng.sample(range(10_000), size)
+        n = math.ceil(size * share)
+        part = item[:n]
+        for i in rng.sample(range(1, n - 1), int(n * 0.1)):
+            part[i] = -1 - i
+        noise = list(range(20_000, 20_030))
+        doc = noise + part + noise
+        at = {tuple(item[i : i + run]): i for i in range(size - run + 1)}
+        pairs = [(at[t], j) for j in range(len(doc) - run + 1) if (t := tuple(doc[j : j + run])) in at]
+        first, got, altered, where = leak.longest_passage(np.array(item), np.array(doc), pairs)
+        found += (first, got, altered, where) == (0, n, int(n * 0.1), 30)
+        assert got <= n and altered <= leak.ALTERED * got
+    assert found >= 90
+
+
+def test_leak_ends_are_not_stretched():
+    item, doc = np.arange(100), np.concatenate([np.arange(40), np.arange(500, 560)])
+    doc[42] = 42  # one equal term after others is no passage
+    assert leak.longest_passage(item, doc, [(i, i) for i in range(37)]) == (0, 40, 0, 0)
+
+
 def test_leaks(spark, monkeypatch):
     words = ITEM.split()
     altered = [w if i % 11 else "other" for i, w in enumerate(words)]
