@@ -164,7 +164,14 @@ def _one_alphabet(t: str) -> str:
 _JAVA_SPECIAL = (
     r"[\t\r\x0B\x0C\x{85}\x{A0}\x{AD}\x{131}\x{132}\x{133}\x{1C7}-\x{1CC}\x{1F1}-\x{1F3}\x{251}\x{261}\x{29C}\x{300}-\x{36F}\x{340}\x{341}\x{374}\x{37E}\x{387}\x{61C}\x{653}-\x{655}"
     r"\x{958}-\x{95F}\x{9DC}-\x{9DF}\x{E4D}\x{1100}-\x{11FF}\x{1680}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{1F00}-\x{1FFF}\x{2000}-\x{200F}\x{2028}-\x{202F}\x{205F}-\x{206F}\x{2126}\x{212A}\x{212B}\x{2160}-\x{217F}"
-    r"\x{2E9F}\x{2EF3}\x{2F00}-\x{2FD5}\x{3000}\x{3099}\x{309A}\x{F900}-\x{FAFF}\x{FB00}-\x{FDFF}\x{FE00}-\x{FE0F}\x{FE20}-\x{FE2F}\x{FE70}-\x{FEFF}\x{FF10}-\x{FF19}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}\x{FF61}-\x{FFDC}\x{FFF0}-\x{FFF8}\x{1D15E}-\x{1D1C0}\x{2F800}-\x{2FA1F}\x{E0000}-\x{E0FFF}]"
+    r"\x{2E9F}\x{2EF3}\x{2F00}-\x{2FD5}\x{3000}\x{3099}\x{309A}\x{F900}-\x{FAFF}\x{FB00}-\x{FDFF}\x{FE00}-\x{FE0F}\x{FE20}-\x{FE2F}\x{FE70}-\x{FEFF}\x{FF10}-\x{FF19}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}\x{FF61}-\x{FFDC}\x{FFF0}-\x{FFF8}\x{1D15E}-\x{1D1C0}\x{2F800}-\x{2FA1F}\x{E0000}-\x{E0FFF}"
+    # what else NFC may compose or take apart
+    r"\x{93C}\x{9BE}\x{9D7}\x{A33}\x{A36}\x{A59}-\x{A5B}\x{A5E}\x{B3E}\x{B56}-\x{B57}\x{B5C}-\x{B5D}\x{BBE}\x{BD7}\x{C56}\x{CC2}\x{CD5}-\x{CD6}\x{D3E}"
+    r"\x{D57}\x{DCA}\x{DCF}\x{DDF}\x{F43}\x{F4D}\x{F52}\x{F57}\x{F5C}\x{F69}\x{F73}\x{F75}-\x{F76}\x{F78}\x{F81}\x{F93}\x{F9D}"
+    r"\x{FA2}\x{FA7}\x{FAC}\x{FB9}\x{102E}\x{1B35}\x{2329}-\x{232A}\x{2ADC}\x{110BA}\x{11127}\x{1133E}\x{11357}\x{114B0}\x{114BA}\x{114BD}\x{115AF}"
+    r"\x{11930}]"
+    # marks (also those newer than the JVM) that follow each other may change places; the vowel signs of Devanagari and Thai named here never do
+    r"|[\p{M}\p{Cn}&&[^\x{900}-\x{903}\x{93A}\x{93B}\x{93E}-\x{94C}\x{94E}\x{94F}\x{E31}\x{E34}-\x{E37}\x{E47}\x{E4C}-\x{E4E}]]{2}"
 )
 _JAVA_ALPHABETS = r"[\x{370}-\x{3FF}\x{400}-\x{52F}\x{1F00}-\x{1FFF}]"
 #: Cyrillic and Greek letters that have a shape of another alphabet: a text of them alone is read by its other letters.

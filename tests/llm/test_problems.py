@@ -277,6 +277,21 @@ def test_packing_is_tight_and_whole(spark):
     assert fill.fill(spark.createDataFrame([], "id bigint, size bigint"), 1000, "id", F.col("size")).count() == 0
 
 
+def test_needs_work_knows_all_of_nfc(spark):
+    pairs = [("\u0928\u093c", "\u0929"), ("\u0628\u064e\u0651", "\u0628\u0651\u064e"), ("\u0e01\u0e48\u0e38", "\u0e01\u0e38\u0e48")]
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
+    texts = [c for c in every if unicodedata.normalize("NFC", c) != c]
+    texts += [unicodedata.normalize("NFD", c) for c in every if unicodedata.normalize("NFD", c) != c]
+    marks = [c for c in every if unicodedata.combining(c)]
+    texts += [a + b for a in marks[::7] for b in marks[::5] if unicodedata.combining(a) > unicodedata.combining(b)] + [t for p in pairs for t in p]
+    texts = [t for t in texts if unicodedata.normalize("NFC", t) != t]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(~lookalike.needs_work(F.col("t"))).count() == 0
+    d = spark.createDataFrame([(2 * k + i, t) for k, p in enumerate(pairs) for i, t in enumerate(p)], "doc_id bigint, text string")
+    got = {(r["id_a"], r["id_b"]) for r in lookalike.lookalike_pairs({"documents": (d, "doc_id")}).collect()}
+    assert got == {(0, 1), (2, 3), (4, 5)}
+
+
 # 9 leaks
 
 
