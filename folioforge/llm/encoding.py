@@ -39,6 +39,8 @@ ROUNDS = 3
 LOST = 3
 #: Broken rules per character from which on a stretch is suspect, and how much of it one stretch must add up to.
 SUSPECT, LEAST = 0.2, 4.0
+#: What a reading costs at most that needs no comparison with those in further encodings.
+CERTAIN = 0.03
 LOSS = 0xFFFD
 
 #: The byte structure of the multibyte encodings (fixed values).
@@ -73,10 +75,12 @@ FREQUENT = (
 
 (
     LOW, UP, DIGIT, SPACE, POINT, LAT_LOW, LAT_UP, VIET, CYR_LOW, CYR_UP, GREEK, ARAB, THAI, DEVA, OTHER, HANGUL, KANA, HALF, HAN_TOP, HAN_1, HAN_2,
-    HAN_X, BOPO, TYPO, MARK, BOX, BAD, GONE, WIDE, JOIN, ACCENT,
-) = range(31)
-KINDS = 31
-_TYPO = set("“”‘’„‚‹›–—…«»·•′″ ­  　")
+    HAN_X, BOPO, TYPO, MARK, BOX, BAD, GONE, WIDE, JOIN, ACCENT, QUOTE,
+) = range(32)
+KINDS = 32
+WORD, SIGN, RUN = 1, 2, 4
+_QUOTE = set("«»„“”‚‹›")  # quotation marks that stand between two letters of no word
+_TYPO = set("‘’–—…·•′″ ­  　")
 _WORDS = (LOW, UP, LAT_LOW, LAT_UP, VIET, CYR_LOW, CYR_UP, GREEK)
 _HAN = (HAN_TOP, HAN_1, HAN_2, HAN_X)
 
@@ -100,7 +104,9 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     kind = np.full(0x110000, MARK, np.uint8)
     foreign = np.zeros(0x110000, bool)
     first, every = _first_level()
-    for o in range(0x30000):
+    kind[0x10000:0x1D000], kind[0x1E000:0x1F000] = OTHER, OTHER
+    kind[0x20000:0xE0000], kind[0xE0000:0xF0000], kind[0xF0000:] = HAN_X, JOIN, BAD
+    for o in range(0x10000):
         c = chr(o)
         cat = unicodedata.category(c)
         k = MARK
@@ -108,6 +114,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
             k = DIGIT if cat == "Nd" else LOW if cat == "Ll" else UP if cat == "Lu" else SPACE if o in (9, 10, 13, 32) else POINT if o > 32 and o < 127 else BAD
         elif o == LOSS:
             k = GONE
+        elif c in _QUOTE:
+            k = QUOTE
         elif c in _TYPO:
             k = TYPO
         elif cat in ("Cc", "Co", "Cn", "Cs"):
@@ -118,7 +126,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
             k = ACCENT
         elif 0x4E00 <= o <= 0x9FFF:
             k = HAN_TOP if c in FREQUENT else HAN_1 if c in first else HAN_2 if c in every else HAN_X
-        elif 0x3400 <= o <= 0x4DBF or o >= 0x20000:
+        elif 0x3400 <= o <= 0x4DBF:
             k = HAN_X
         elif 0x3041 <= o <= 0x30FF:
             k = KANA
@@ -197,12 +205,13 @@ def _costs() -> tuple[np.ndarray, np.ndarray]:
 
 _KIND, _FOREIGN = _tables()
 _BASE, _PAIR = _costs()
-_IN_WORD = np.isin(np.arange(KINDS), _WORDS)
+_PAIR = _PAIR.ravel()
+_FLAGS = np.zeros(KINDS, np.uint8)
+_FLAGS[list(_WORDS)] |= WORD
+_FLAGS[[MARK, BOX, HALF, ACCENT, QUOTE]] |= SIGN
+_FLAGS[[LAT_LOW, LAT_UP, MARK]] |= RUN
 _IS_LETTER = np.isin(np.arange(KINDS), (LAT_LOW, LAT_UP, VIET, CYR_LOW, CYR_UP, GREEK, ARAB, THAI, DEVA, OTHER, HANGUL))
 _IS_HAN = np.isin(np.arange(KINDS), _HAN)
-_IS_SIGN = np.isin(np.arange(KINDS), (MARK, BOX, HALF, ACCENT))
-_IS_QUOTE = np.zeros(0x2100, bool)  # quotation marks that stand between two letters of no word
-_IS_QUOTE[[ord(c) for c in "«»„“”‚‹›"]] = True
 _NAMES = list(ALPHABETS)
 _ALPHABET = np.zeros((len(_NAMES), 0x530), np.float32)
 _BITS = np.zeros(0x530, np.float32)
@@ -228,25 +237,32 @@ def broken(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     k = _KIND[codes]
     v = _BASE[k]
     n = len(k)
-    if n > 1:
-        v[1:] += _PAIR[k[:-1], k[1:]]
-    if n > 2:
-        w = _IN_WORD[k]
-        sign = _IS_SIGN[k] | _IS_QUOTE[np.minimum(codes, 0x20FF)]
+    if n < 2:
+        return v, k
+    v[1:] += _PAIR[k[:-1].astype(np.int16) * KINDS + k[1:]]
+    flags = _FLAGS[k]
+    sign = (flags & SIGN) > 0
+    if n > 2 and sign.any():
+        w = (flags & WORD) > 0
+        solid = sign & (k != QUOTE)
         v[1:-1] += 1.3 * (w[:-2] & sign[1:-1] & w[2:])
-        v[1:-1] += 0.6 * (sign[:-2] & sign[1:-1] & w[2:] & (k[1:-1] != TYPO))  # two signs before a letter, or after one
-        v[2:] += 0.9 * (w[:-2] & sign[1:-1] & sign[2:] & (k[2:] != TYPO))
-        if n > 3:
-            v[2:-1] += 1.3 * (w[:-3] & sign[1:-2] & sign[2:-1] & w[3:])
+        two = sign[:-1] & sign[1:]
+        if two.any():  # two signs before a letter, after one, or between two
+            v[1:-1] += 0.6 * (two[:-1] & w[2:] & solid[1:-1])
+            v[2:] += 0.9 * (w[:-2] & two[1:] & solid[2:])
+            if n > 3:
+                v[2:-1] += 1.3 * (w[:-3] & two[1:-1] & w[3:])
+    run = (flags & RUN) > 0
+    if n > 3 and run.any():
+        four = run[3:] & run[2:-1] & run[1:-2] & run[:-3]
+        if four.any():
+            in_run = np.zeros(n, bool)
+            for i in range(4):
+                in_run[i : n - 3 + i] |= four
+            v += 0.6 * (in_run & (k != MARK))
+    if n > 2 and v.any():
         same = codes[1:] == codes[:-1]
         v[1:-1][same[:-1] & same[1:]] = 0  # drawn lines and the like
-    if n > 3:
-        run = (k == LAT_LOW) | (k == LAT_UP) | (k == MARK)
-        four = run[3:] & run[2:-1] & run[1:-2] & run[:-3]
-        in_run = np.zeros(n, bool)
-        for i in range(4):
-            in_run[i : n - 3 + i] |= four
-        v += 0.6 * (in_run & (k != MARK))
     return v, k
 
 
@@ -312,10 +328,13 @@ def _bytes(codes: np.ndarray, codec: str) -> np.ndarray:
     return np.where(codes < 0x10000, _byte_of(codec)[np.minimum(codes, 0xFFFF)], -1)
 
 
-def utf8_spans(text: str, codec: str) -> str | None:
+def utf8_spans(text: str, codec: str, codes: np.ndarray | None = None) -> str | None:
     """``text`` with every maximal well-formed UTF-8 span of its bytes under a single-byte ``codec`` decoded; None where
     there is no span."""
-    b = _bytes(_codes(text), codec)
+    b = _bytes(_codes(text) if codes is None else codes, codec)
+    lead = (b[:-1] >= 0xC2) & (b[:-1] < 0xF5)
+    if not (lead & (((b[1:] >= 0x80) & (b[1:] < 0xC0)) | (b[1:] == 0x20))).any():
+        return None
     data = np.where(b >= 0, b, 0x3F).astype(np.uint8)
     data[(b == 0x20) & np.append(False, (b >= 0xC2)[:-1] & (b < 0xF5)[:-1])] = 0xA0  # a no-break space that became a blank
     out, last = [], 0
@@ -362,11 +381,13 @@ def _double(c: str, codec: str) -> bytes | None:
 def wide_stretches(line: str, codec: str, k: np.ndarray) -> list[str | bytes] | None:
     """``line`` as the maximal stretches that map back to double bytes of ``codec`` (bytes) and what lies between (str).
     None where nothing maps, or where the line is not mostly of signs that such codecs are for."""
-    high = (k > POINT) & (k != TYPO) & (k != GONE)
+    high = (k > POINT) & (k != TYPO) & (k != QUOTE) & (k != GONE)
     asian = _IS_HAN[k] | np.isin(k, (KANA, HALF, BOPO, WIDE, HANGUL)) | (k == BAD)
     if 2 * int((asian & high).sum()) < int(high.sum()):
         return None  # the double bytes of other alphabets say nothing
-    return _stretches(line, lambda c: _double(c, codec))
+    parts = _stretches(line, lambda c: _double(c, codec))
+    # a stretch read in another encoding maps here and there at most
+    return parts if parts and 2 * sum(x != "�" for x in parts if isinstance(x, str)) < int((high & asian).sum()) else None
 
 
 def narrow_stretches(line: str, codec: str) -> list[str | bytes] | None:
@@ -417,13 +438,17 @@ def _structured(parts: list[str | bytes], written: str) -> bool:
     return high > 0 and inside >= 0.85 * high
 
 
-def _cost(codes: np.ndarray, order: int, written: str = "", wide: bool = False) -> float:
+def _cost(codes: np.ndarray, order: int, written: str = "", wide: bool = False, most: float = 9e9) -> float:
+    """What a reading costs, or a number over ``most`` where it costs more than that."""
     v, k = broken(codes)
-    high = int((codes >= 0x80).sum())
+    high = max(1, int((codes >= 0x80).sum()))
     lost = int((k == GONE).sum())
+    fixed = 0.002 * order + DOUBT.get(written, (0.0, 0.0))[0 if wide else 1] + 0.5 * lost / high
+    if float(v.sum()) / max(1, high - lost) + fixed > most:
+        return 9e9
     cyr = codes[(k == CYR_LOW) | (k == CYR_UP)]
     fine = 0.2 * len(cyr) / high * max(0.0, float(_BITS[cyr].mean()) - 4.4) if len(cyr) else 0.0  # between two alphabets' readings
-    return _mean(codes, v, k) + fine + 0.004 * order + DOUBT.get(written, (0.0, 0.0))[0 if wide else 1] + (0.5 * lost / high if high else 0.0)
+    return _mean(codes, v, k) + fine + fixed
 
 
 def _put_right(line: str, first: tuple[str, str] | None = None, least: float = SUSPECT) -> tuple[str, str, str] | None:
@@ -443,7 +468,7 @@ def _put_right(line: str, first: tuple[str, str] | None = None, least: float = S
     for i, read in enumerate(READ_IN):
         new = line
         for _ in range(ROUNDS):  # text may have been garbled more than once
-            got = utf8_spans(new, read)
+            got = utf8_spans(new, read, codes if new is line else None)
             if not got or got == new:
                 break
             new = got
@@ -464,7 +489,7 @@ def _put_right(line: str, first: tuple[str, str] | None = None, least: float = S
         if at in seen:
             return
         seen.add(at)
-        b = _cost(new, order, written, wide)
+        b = _cost(new, order, written, wide, best[0] if best is not None else 9e9)
         if best is None or b < best[0]:
             best = (b, text if isinstance(text, str) else text(), read, written)
 
@@ -480,7 +505,11 @@ def _put_right(line: str, first: tuple[str, str] | None = None, least: float = S
     def try_narrow(j: int, read: str, only: str | None = None) -> None:
         b = _bytes(codes, read)
         on = (b >= 0x80) & (codes >= 0x80)
-        high = (codes >= 0x80) & (k != GONE) & (k != TYPO)
+        high = (codes >= 0x80) & (k != GONE) & (k != TYPO) & (k != QUOTE)
+        at = b.tobytes()
+        if at in seen:
+            return
+        seen.add(at)
         if not on.any() or 10 * int((on & high).sum()) < 9 * int(high.sum()):
             return  # the stretch was not read in this encoding
         for i, written in enumerate(WRITTEN_NARROW):
@@ -503,6 +532,8 @@ def _put_right(line: str, first: tuple[str, str] | None = None, least: float = S
         if best is not None and best[0] < min(0.12, now / 3):
             return best[1:]
     for read in order:
+        if best is not None and best[0] < CERTAIN:
+            break
         (try_wide if read in READ_IN_WIDE else try_narrow)((list(READ_IN_WIDE) if read in READ_IN_WIDE else list(READ_IN)).index(read), read)
     if best is not None and (best[0] < min(0.25, now / 2) or best[0] < now - 0.6):
         return best[1:]
@@ -524,8 +555,9 @@ def _passages(line: str) -> tuple[str, str, str] | None:
     """Reading of a line of which only a part is garbled: well-formed UTF-8 spans are decoded where each of them gains."""
     best = None
     now = _weight(line)
+    codes = _codes(line)
     for read in READ_IN:
-        got = utf8_spans(line, read)
+        got = utf8_spans(line, read, codes)
         if got and got != line:
             gain = now - _weight(got)
             if gain > 0.8 and badness(got) < 0.35 and (best is None or gain > best[0]):
@@ -563,14 +595,22 @@ def _line_repair(line: str, first: tuple[str, str] | None) -> tuple[str, str, st
     if _UTF8_TRACE.search(line):
         new = _passages(line)
     if span := _densest(line):
-        part = _put_right(line[span[0] : span[1]], first, SUSPECT / 2)
-        if part is not None:
-            other = (line[: span[0]] + part[0] + line[span[1] :], *part[1:])
-            if new is None or _weight(other[0]) < _weight(new[0]):
-                new = other
+        for a, b in _trimmed(line, *span):
+            part = _put_right(line[a:b], first, SUSPECT / 2)
+            if part is not None:
+                other = (line[:a] + part[0] + line[b:], *part[1:])
+                if new is None or _weight(other[0]) < _weight(new[0]):
+                    new = other
+                break
     return new
 
 
+def _trimmed(line: str, a: int, b: int) -> list[tuple[int, int]]:
+    """A stretch, and the same without its last or its first word, which may be sound."""
+    last, first = line.rfind(" ", a, b), line.find(" ", a, b)
+    return [(a, b)] + ([(a, last), (first + 1, b)] if a < first < b else [])
+
+
 def repair(text: str | None) -> tuple[str | None, str | None, str | None, bool]:
     """(text put right, read in, written in, lost): lost where the signs of lost bytes stand in place of most letters.
 

@@ -97,7 +97,7 @@ def test_short_passage_in_a_long_sound_line(line, passage, written, read):
 def test_no_reading_loses_what_was_there():
     rng = random.Random(1)
     letters = "abc éèüßñ łżó 中文字的 かな カナ 한국 абв αβγ “” —"
-    for _ in range(300):
+    for _ in range(80):
         t = "".join(rng.choice(letters) for _ in range(rng.randrange(0, 60)))
         out = encoding.repair(t)[0]
         assert "\ufffd" not in out
