@@ -4,8 +4,9 @@ One interpolated Kneser-Ney character model per language. The n-grams of all lan
 64-bit hashes per order; beside each hash stand, language by language, its discounted probability and, for
 contexts, the weight of the shorter order. A text is scored in whole, word by word: words are scored once per
 Python worker with binary search over the hash arrays and then remembered. The language with the lowest cross-entropy
-per character wins; it is rejected (null) where the lead over the next language is under a threshold that is
-calibrated on held-out lines.
+per character wins. It is rejected (null) where that cross-entropy is higher than held-out lines of the language have at
+that length; the confidence is a posterior whose temperature is fitted, length by length, on held-out snippets, and is
+never above the share of them that came out right.
 """
 
 from __future__ import annotations
@@ -26,12 +27,23 @@ from folioforge.llm.common import LANGUAGES, label_language
 
 #: Order of the n-grams, and the words that one worker remembers before it starts anew.
 ORDER, REMEMBER = 4, 300_000
-#: Lead in nats under which a line is never given to another language than its text's.
-LEAST_LEAD = 20.0
+#: Share of held-out lines that may come out as another language than theirs, and the lead in nats that is asked for
+#: beyond what they show, for a line to be given to another language than its text's.
+FALSE_LINES, MARGIN = 0.001, 20.0
+#: A text is of none of the languages where its cross-entropy is beyond that of held-out lines (but for REJECTED of them)
+#: and SLACK nats per character more, as other subjects use other words. An ideograph may well be new to the sample, at
+#: about UNSEEN nats; letters of other scripts cost more.
+REJECTED, SLACK, UNSEEN = 0.002, 2.4, 13.0
+#: Characters up to which snippets are calibrated together, and the temperatures that are tried.
+LENGTHS, TEMPERATURES = (6, 12, 24, 48, 96), (1.0, 0.7, 0.5, 0.35, 0.25, 0.18, 0.12, 0.08, 0.05)
 #: Letters that such a line has at least (a heading of two or three words says too little), and signs without spaces.
 LEAST_LETTERS, LEAST_SIGNS = 24, 8
-#: Bound of the training sample: rows per language, and lines of one row.
-SAMPLE_ROWS, SAMPLE_LINES = 150, 40
+#: A line in a script that its text's language does not use needs fewer.
+OTHER_SCRIPT = 8
+#: Bound of the training sample: rows per language, pieces of one row, and characters of one piece (a line or part of one).
+SAMPLE_ROWS, SAMPLE_LINES, SAMPLE_CHARS = 150, 40, 400
+#: Scripts of the languages that are not written in Latin letters (fixed values).
+SCRIPT = {"ru": "cyrillic", "zh": "cjk", "ja": "cjk", "hi": "devanagari", "th": "thai", "ar": "arabic"}
 SPAN = 1 << 40
 
 #: Sentences that stand in for a language of which the sample has little or nothing.
@@ -129,7 +141,11 @@ class Model:
                 b[np.searchsorted(ctxs, cu), j] = np.minimum(1, d * kinds / np.maximum(total, 1e-9))
             self.tables.append((keys, a))
             self.contexts.append((ctxs, b))
-        self.threshold = 0.0
+        self.ideographs = np.array([SCRIPT.get(x) == "cjk" for x in self.languages])
+        # without held-out lines nothing is rejected, and a line needs the margin alone
+        self.threshold = np.full(k, MARGIN)
+        self.mean, self.spread, self.bound = np.zeros(k), np.zeros(k), np.full(k, np.inf)
+        self.heat, self.cap = np.full(len(LENGTHS) + 1, 0.25), np.full(len(LENGTHS) + 1, 0.999)
         self.rows: dict[str, int] = {}
         self.scores = np.zeros((0, k), np.float32)
 
@@ -184,15 +200,74 @@ class Model:
                     s[i, zh] -= 1e6
         return s
 
+    def scored(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probabilities under the rule of scripts, and characters, of each line."""
+        s, chars = self.score_lines(lines)
+        return self.restrain(lines, s), chars
+
+    def confidence(self, s: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """Posterior of the best language of each row of scores, tempered by the row's length."""
+        b = np.searchsorted(LENGTHS, chars)
+        x = (s - s.max(1)[:, None]) * self.heat[b][:, None]
+        return np.minimum(1 / np.exp(np.maximum(x, -700)).sum(1), self.cap[b])
+
+    def rejected(self, lang: np.ndarray, s: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """Whether the cross-entropy per character under each row's language is beyond what the language allows."""
+        n = np.maximum(chars, 1)
+        entropy = -s[np.arange(len(s)), lang] / n
+        limit = self.mean[lang] + self.bound[lang] * self.spread[lang] / np.sqrt(n) + SLACK
+        return entropy > np.where(self.ideographs[lang], np.maximum(limit, UNSEEN), limit)
+
     def best(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each line: index of the language, lead in nats over the next one, confidence, characters."""
-        s, chars = self.score_lines(lines)
-        s = self.restrain(lines, s)
+        s, chars = self.scored(lines)
         top = s.argmax(1)
         rest = s.copy()
         rest[np.arange(len(s)), top] = -np.inf
         lead = s[np.arange(len(s)), top] - rest.max(1) if s.shape[1] > 1 else np.full(len(s), 99.0)
-        return top, lead, 1 - 1 / (1 + np.exp(np.minimum(lead, 50))), chars
+        return top, lead, self.confidence(s, chars), chars
+
+    def calibrate(self, rows: list[tuple[str, str]]) -> None:
+        """Sets thresholds, bounds and temperatures by held-out (language, line) rows, language by language."""
+        rows = [r for r in rows if r[0] in self.languages]
+        if not rows:
+            return
+        own = np.array([self.languages.index(r[0]) for r in rows])
+        s, chars = self.scored([x for _, x in rows])
+        at = np.arange(len(s))
+        full = chars >= LEAST_LETTERS
+        false_lead = s.max(1) - s[at, own]
+        entropy = -s[at, own] / np.maximum(chars, 1)
+        for j in range(len(self.languages)):
+            on = full & (own == j)
+            if on.sum() >= 20:
+                self.threshold[j] = MARGIN + np.quantile(false_lead[on], 1 - FALSE_LINES)
+                self.mean[j] = entropy[on].mean()
+                dev = (entropy[on] - self.mean[j]) * np.sqrt(chars[on])
+                self.spread[j] = max(1e-6, dev.std())
+                self.bound[j] = max(3.0, np.quantile(dev, 1 - REJECTED) / self.spread[j])
+        snippets: list[tuple[int, str]] = []
+        for j, (_, line) in zip(own.tolist(), rows):
+            words = words_of(line)
+            for most in LENGTHS:
+                size, i = 0, 0
+                while i < len(words) and size + len(words[i]) <= most:
+                    size += len(words[i])
+                    i += 1
+                if i:
+                    snippets.append((j, " ".join(words[:i])))
+            snippets.append((j, line))
+        s, chars = self.scored([x for _, x in snippets])
+        own = np.array([j for j, _ in snippets])
+        b = np.searchsorted(LENGTHS, chars)
+        for k in range(len(LENGTHS) + 1):
+            on = (b == k) & (chars > 0)
+            if on.sum() < 30:
+                continue
+            x, y = s[on] - s[on].max(1)[:, None], own[on]
+            loss = [np.mean(np.log(np.exp(np.maximum(x * t, -700)).sum(1)) - np.maximum(x[np.arange(len(y)), y] * t, -50)) for t in TEMPERATURES]
+            self.heat[k] = TEMPERATURES[int(np.argmin(loss))]
+            self.cap[k] = ((x.argmax(1) == y).sum() + 1) / (len(y) + 2)
 
 
 def _count(rows: list[tuple[str, str]]) -> dict[str, Counter]:
@@ -203,12 +278,11 @@ def _count(rows: list[tuple[str, str]]) -> dict[str, Counter]:
 
 
 def train(rows: list[tuple[str, str]], languages: tuple[str, ...] = LANGUAGES) -> Model:
-    """Model of (language, text) rows. Labels may be wrong: lines that another language explains better are dropped
-    first, then the threshold of rejection is the lead that keeps 99 % of held-out lines right."""
+    """Model of (language, line) rows. Labels may be wrong: lines that another language explains better are dropped
+    first, each half being judged by a model of the other; then a tenth, held out, calibrates the model of the rest."""
     seed = [(k, v) for k, v in SEED.items() if k in languages]
-    lines = [(k, x) for k, t in rows if k in languages for x in t.splitlines()[:SAMPLE_LINES] if len(x) > 15]
-    test, use = lines[::10], [x for i, x in enumerate(lines) if i % 10]
-    for _ in range(2):  # each half is judged by a model of the other, so that no line speaks for its own label
+    use = [(k, x) for k, t in rows if k in languages for x in t.splitlines() if len(x) > 15]
+    for _ in range(2):  # so that no line speaks for its own label
         halves = [use[0::2], use[1::2]]
         kept = []
         for own, other in (halves, halves[::-1]):
@@ -217,78 +291,119 @@ def train(rows: list[tuple[str, str]], languages: tuple[str, ...] = LANGUAGES) -
                 top, lead, _, _ = judge.best([x for _, x in own])
                 kept += [r for r, t, d in zip(own, top, lead) if judge.languages[t] == r[0] or d < 2]
         use = kept
-    model = Model(_count(seed * 3 + use))
-    leads = []
-    if test:
-        top, lead, _, _ = model.best([x for _, x in test])
-        leads = sorted((d for r, t, d in zip(test, top, lead) if model.languages[t] != r[0] and d < 12), reverse=True)
-    allowed = max(1, len(test) // 100)
-    model.threshold = float(max(LEAST_LEAD, leads[allowed] if len(leads) > allowed else 0.0))
+    model = Model(_count(seed * 3 + [x for i, x in enumerate(use) if i % 10]))
+    model.calibrate(use[::10])
     return model
 
 
+def _pieces(key: str, text: str) -> list[str]:
+    """Lines of a text, or parts of long ones, at most SAMPLE_LINES: those with the lowest hash."""
+    import xxhash
+
+    parts = [x[i : i + SAMPLE_CHARS] for x in text.splitlines() for i in range(0, len(x), SAMPLE_CHARS) if len(x) > 15]
+    if len(parts) <= SAMPLE_LINES:
+        return parts
+    order = sorted(range(len(parts)), key=lambda i: xxhash.xxh64_intdigest(f"{key}:{i}"))
+    return [parts[i] for i in sorted(order[:SAMPLE_LINES])]
+
+
 def fit(df: DataFrame, text: str, label: str, key: str, languages: tuple[str, ...] = LANGUAGES, rows: int = SAMPLE_ROWS) -> Model:
     """Model fitted on a bounded sample of labelled rows: of each language the ``rows`` rows with the lowest hash of
-    their key. Nulls and labels that name none of the languages are left out; an empty table gives the seed model."""
-    named = df.select(label_language(F.col(label)).alias("lang"), F.pmod(F.xxhash64(key), F.lit(SPAN)).alias("h"), F.col(text).alias("text"))
-    named = named.where(F.col("lang").isin(*languages) & F.col("text").isNotNull() & (F.length("text") < 20_000))
+    their key, and of each row the pieces with the lowest hash. Nulls and labels that name none of the languages are left
+    out; an empty table gives the seed model. The first job reads the labels alone, the second the texts; the pieces are
+    drawn on the executors, so that at most ``rows`` x SAMPLE_LINES x SAMPLE_CHARS characters a language come here."""
+    lang, h = label_language(F.col(label)), F.pmod(F.xxhash64(key), F.lit(SPAN))
+    named = df.select(lang.alias("lang"), h.alias("h"), F.col(key).cast("string").alias("k"), F.col(text).alias("text")).where(F.col("lang").isin(*languages))
     share = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # at most twelve rows
     out: list[tuple[str, str]] = []
     if share:
         limit = F.create_map(*[x for k, n in share.items() for x in (F.lit(k), F.lit(min(1.0, 1.3 * rows / n + 20 / n)))])
-        part = named.where(F.col("h") < F.try_element_at(limit, F.col("lang")) * SPAN)
-        got = sorted((r["lang"], r["h"], r["text"]) for r in part.collect())
+        part = named.where((F.col("h") < F.try_element_at(limit, F.col("lang")) * SPAN) & F.col("text").isNotNull())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                lines = ["\n".join(_pieces(k or "", t)) for k, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lines, pa.string())], names=["lang", "h", "lines"])
+
+        got = sorted((r["lang"], r["h"], r["lines"]) for r in part.mapInArrow(run, "lang string, h bigint, lines string").collect())
         seen: Counter = Counter()
-        for lang, _, t in got:
-            seen[lang] += 1
-            if seen[lang] <= rows:
-                out.append((lang, t))
+        for lang_, _, t in got:
+            seen[lang_] += 1
+            if seen[lang_] <= rows:
+                out.append((lang_, t))
     return train(out, languages)
 
 
-def paragraphs_of(text: str) -> list[str]:
-    """The lines of a text that hold words, without markup and bracketed phrases."""
-    return [y for x in text.splitlines() if (y := BRACKETED.sub(" ", x).strip(" \t*#>-_|"))]
+def paragraphs_of(text: str) -> list[tuple[str, int]]:
+    """The lines of a text that hold words, without markup and bracketed phrases, each with the number of its paragraph."""
+    out, no = [], 0
+    for x in text.splitlines():
+        if not x.strip():
+            no += 1
+        elif y := BRACKETED.sub(" ", x).strip(" \t*#>-_|"):
+            out.append((y, no))
+    return out
+
+
+def _sums(x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(x, begin, axis=0)
 
 
-def passage_languages(model: Model, texts: list[str | None]) -> list[list[tuple[str, float, int]]]:
+def passage_languages(model: Model, texts: list[str | None]) -> list[list[tuple[str | None, float, int]]]:
     """Of each text its languages: (language, confidence, characters), the largest first.
 
-    Each line is scored by itself and in its blank-line paragraph's company: a line whose lead is under the threshold
-    goes to the leading language of the text. Null, empty and wordless texts have no language.
+    A line goes to another language than its text's where its lead over the text's is beyond the threshold of that
+    language and it has letters enough (fewer, where the two are written in different scripts); lines of one paragraph
+    that are not decided so are taken together. What a text has of a language is then scored together: it is rejected,
+    with null for its language, where its cross-entropy is beyond that of held-out lines. Null, empty and wordless texts
+    have no language.
     """
-    lines, owner = [], []
+    lines, owner, para = [], [], []
     for i, t in enumerate(texts):
-        for x in paragraphs_of(t or ""):
+        for x, no in paragraphs_of(t or ""):
             lines.append(x)
             owner.append(i)
-    out: list[list[tuple[str, float, int]]] = [[] for _ in texts]
+            para.append(no)
+    out: list[list[tuple[str | None, float, int]]] = [[] for _ in texts]
     if not lines:
         return out
-    s, chars = model.score_lines(lines)
-    s = model.restrain(lines, s)
+    s, chars = model.scored(lines)
     own = np.array(owner)
     begin = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
     # a line's say in the language of the whole is bounded, so that none decides alone
-    whole = np.add.reduceat(np.maximum(s - s.max(1)[:, None], -60) * np.minimum(chars, 200)[:, None], begin, axis=0)
+    whole = _sums(np.maximum(s - s.max(1)[:, None], -60) * np.minimum(chars, 200)[:, None], begin)
     main = np.repeat(whole.argmax(1), np.diff(np.append(begin, len(own))))
-    at = np.arange(len(own))
-    top = s.argmax(1)
-    over_main = s[at, top] - s[at, main]
-    lead = np.sort(s, axis=1)
-    lead = lead[:, -1] - lead[:, -2] if s.shape[1] > 1 else np.full(len(s), 99.0)
-    least = np.fromiter((LEAST_SIGNS if NO_SPACES.search(x) else LEAST_LETTERS for x in lines), np.int64, len(lines))
-    solid = (np.minimum(lead, over_main) >= model.threshold) & (chars >= least)
-    lang = np.where(solid, top, main)
-    conf = np.where(solid | (top == main), np.minimum(lead, 50), 0.0)
-    total: dict[tuple[int, int], list[float]] = {}
-    for i, k, c, n in zip(own.tolist(), lang.tolist(), conf.tolist(), chars.tolist()):
+    script = np.array([{"cyrillic": 1, "cjk": 2, "devanagari": 3, "thai": 4, "arabic": 5}.get(SCRIPT.get(x), 0) for x in model.languages])
+    unspaced = np.fromiter((bool(NO_SPACES.search(x)) for x in lines), bool, len(lines))
+
+    def solid(s: np.ndarray, chars: np.ndarray, unspaced: np.ndarray, main: np.ndarray) -> np.ndarray:
+        at, top = np.arange(len(s)), s.argmax(1)
+        least = np.where(unspaced, LEAST_SIGNS, np.where(script[top] != script[main], OTHER_SCRIPT, LEAST_LETTERS))
+        return (s[at, top] - s[at, main] >= model.threshold[main]) & (chars >= least)
+
+    sure = solid(s, chars, unspaced, main)
+    lang = np.where(sure, s.argmax(1), main)
+    # undecided lines that follow each other in one paragraph, as a wrapped one has them, together
+    loose = np.flatnonzero(~sure & (s.argmax(1) != main))
+    if len(loose):
+        key = own[loose].astype(np.int64) * (max(para) + 1) + np.array(para)[loose]
+        first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (np.diff(loose) > 1)))
+        ps, pc = _sums(s[loose], first), _sums(chars[loose], first)
+        yes = solid(ps, pc, _sums(unspaced[loose].astype(int), first) > 0, main[loose[first]])
+        lang[loose] = np.where(np.repeat(yes, np.diff(np.append(first, len(loose)))), np.repeat(ps.argmax(1), np.diff(np.append(first, len(loose)))), lang[loose])
+    group = own * len(model.languages) + lang
+    order = np.argsort(group, kind="stable")
+    first = np.flatnonzero(np.append(True, group[order][1:] != group[order][:-1]))
+    fits = s[np.arange(len(s)), lang] > -1e5  # but for short lines of another script
+    gs, gc, judged = _sums((s * fits[:, None])[order], first), _sums(chars[order], first), _sums((chars * fits)[order], first)
+    of, who = lang[order][first], own[order][first]
+    # a language is judged by its own place among the others
+    conf = model.confidence(gs, gc)
+    conf = np.where(gs.argmax(1) == of, conf, np.minimum(conf, 1 - conf))
+    off = model.rejected(of, gs, judged)
+    for i, k, c, n, no in zip(who.tolist(), of.tolist(), conf.tolist(), gc.tolist(), off.tolist()):
         if n:
-            x = total.setdefault((i, k), [0.0, 0])
-            x[0] += c
-            x[1] += n
-    for (i, k), (c, n) in total.items():
-        out[i].append((model.languages[k], 1 - 1 / (1 + math.exp(min(c, 50))), int(n)))
+            out[i].append((None, 0.0, int(n)) if no else (model.languages[k], float(c), int(n)))
     for x in out:
         x.sort(key=lambda y: -y[2])
     return out
@@ -311,7 +426,8 @@ LANGUAGE_SCHEMA = "lang string, confidence double, chars bigint, passage_rank in
 def languages_of(df: DataFrame, model: Model, key: str, text: str, keep: list[str] | None = None) -> DataFrame:
     """One row per text and language in it: key, kept columns, lang, confidence, chars, passage_rank (1 = main).
 
-    Texts that are null or have no words give one row with null language. Other columns are dropped, so that their
+    Texts that are null or have no words give one row with null language; so does what a text has in no known
+    language, with confidence 0. Other columns are dropped, so that their
     names cannot clash.
     """
     keep = keep or []
