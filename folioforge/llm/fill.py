@@ -1,112 +1,195 @@
 """Filling containers of fixed capacity (problem 8).
 
-Items are dealt by hash to blocks; each block is packed by itself, so that the work grows with the number of items and
-only one container per block and level of fullness stays partly empty. Within a block vector best-fit: each open
-container has residual tokens, residual documents and residual attention cost (the sum of squared sizes); an item goes
-to the container, among those that hold it under every constraint, with the smallest weighted residual norm.
+Oversized items are cut into pieces at natural boundaries first. Items and pieces are dealt by hash to blocks; each block
+is packed by itself, so that the work grows with the number of items and only one container per block and level of
+fullness stays partly empty. Within a block vector best-fit: each open container has a residual of tokens, of documents
+and of attention cost (the sum of squared sizes); an item goes to the container with the smallest weighted norm of what
+it leaves, among all open ones that hold it under every constraint.
 """
 
 from __future__ import annotations
 
-import bisect
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.functions.text import estimate, estimate_py
 from folioforge.llm.common import spread
+from folioforge.llm.split import split_text
+from folioforge.llm.tokens import VOCABULARY, worker_counter
 
-#: Items that one block holds at about.
+#: Items that one block holds at about; a block is packed in one task, whatever the table's size.
 BLOCK = 20_000
-#: Documents one container may hold, and weights of the residual norm: tokens, documents, attention cost.
-MOST_DOCUMENTS, WEIGHTS = 64, (1.0, 0.15, 0.1)
-OUT_SCHEMA = "container string, piece_no int, n_pieces int, tokens bigint, oversized boolean"
+#: Weights of the residual norm: tokens, documents, attention cost.
+WEIGHTS = (1.0, 0.05, 0.05)
 
 
-def pack(sizes: list[int], capacity: int, most: int = MOST_DOCUMENTS, attention: float | None = None) -> list[int]:
-    """Container number of each size (all between 0 and ``capacity``), largest first, by vector best-fit.
+@dataclass(frozen=True)
+class Capacity:
+    """What one container holds at most. ``documents`` and ``attention`` (sum of squared sizes) bind where they are given;
+    an item that is over the attention capacity by itself gets a container of its own."""
 
-    Open containers lie in lists by their residual tokens; of one list, whose containers all leave the same tokens,
-    the first eight that hold the item are compared.
-    """
-    attention = float(capacity) ** 2 if attention is None else attention
-    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-    levels: dict[int, list[int]] = {}
-    keys: list[int] = []
-    room: list[int] = []
-    docs: list[int] = []
-    cost: list[float] = []
+    tokens: int
+    documents: int | None = None
+    attention: float | None = None
+
+    def __post_init__(self) -> None:
+        if self.tokens < 1 or (self.documents is not None and self.documents < 1) or (self.attention is not None and self.attention <= 0):
+            raise ValueError("capacities must be positive")
+
+
+def pack(sizes: list[int], capacity: Capacity) -> list[int]:
+    """Container number of each size (all between 0 and ``capacity.tokens``), largest first, by vector best-fit over all
+    containers that are still open. A container is closed when not even the smallest item left fits it."""
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    most = capacity.documents if capacity.documents is not None else max(1, len(sizes))
+    bound = float(capacity.attention) if capacity.attention is not None else np.inf
+    scale = bound if np.isfinite(bound) else 1.0
     out = [0] * len(sizes)
+    least = sizes[order[-1]] if order else 0
+    size = 1024
+    room, docs, cost, number = np.zeros(size), np.zeros(size), np.zeros(size), np.zeros(size, np.int64)
+    n = made = 0  # open containers, containers at all
     for i in order:
-        s = sizes[i]
-        best, best_norm = -1, float("inf")
-        for k in range(bisect.bisect_left(keys, s), len(keys)):
-            left = (keys[k] - s) / capacity
-            if WEIGHTS[0] * left * left >= best_norm:
-                break
-            seen = 0
-            for j in reversed(levels[keys[k]]):
-                d, c = docs[j] - 1, cost[j] - s * s
-                if d >= 0 and c >= 0:
-                    seen += 1
-                    if seen > 8:
-                        break
-                    norm = WEIGHTS[0] * left * left + WEIGHTS[1] * (d / most) ** 2 * left + WEIGHTS[2] * (c / attention) ** 2 * left
-                    if norm < best_norm:
-                        best, best_norm = j, norm
+        s = float(sizes[i])
+        r = room[:n] - s
+        ok = r >= 0
+        if np.isfinite(bound):
+            ok &= cost[:n] >= s * s
+        best = -1
+        at = np.flatnonzero(ok)
+        if len(at):
+            norm = WEIGHTS[0] * (r[at] / capacity.tokens) ** 2 + WEIGHTS[1] * ((docs[at] - 1) / most) ** 2 * (r[at] / capacity.tokens)
+            if np.isfinite(bound):
+                norm += WEIGHTS[2] * ((cost[at] - s * s) / scale) ** 2 * (r[at] / capacity.tokens)
+            best = int(at[norm.argmin()])
         if best < 0:
-            best = len(room)
-            room.append(capacity)
-            docs.append(most)
-            cost.append(attention)
-        else:
-            at = levels[room[best]]
-            at.remove(best)
-            if not at:
-                del levels[room[best]]
-                keys.pop(bisect.bisect_left(keys, room[best]))
+            if n == size:
+                size *= 2
+                room, docs, cost, number = (np.resize(x, size) for x in (room, docs, cost, number))
+            best, n = n, n + 1
+            room[best], docs[best], cost[best], number[best] = capacity.tokens, most, bound, made
+            made += 1
         room[best] -= s
         docs[best] -= 1
         cost[best] -= s * s
-        out[i] = best
-        if docs[best] > 0:
-            if room[best] not in levels:
-                levels[room[best]] = []
-                bisect.insort(keys, room[best])
-            levels[room[best]].append(best)
+        out[i] = int(number[best])
+        if docs[best] <= 0 or room[best] < least or cost[best] < least * least:  # closed: the last open one takes its place
+            n -= 1
+            for x in (room, docs, cost, number):
+                x[best] = x[n]
     return out
 
 
-def fill(items: DataFrame, capacity: int, key: str, size: Column, most: int = MOST_DOCUMENTS) -> DataFrame:
-    """One row per item and piece: key, container, piece_no, n_pieces, tokens, oversized.
+PIECE_SCHEMA = "piece_no int, n_pieces int, start_pos int, end_pos int, tokens bigint"
+OUT_SCHEMA = f"container string, {PIECE_SCHEMA}, oversized boolean"
+
+
+def cut(text: str, capacity: int, count: Callable[[str], int]) -> list[tuple[int, int, int]]:
+    """(start, end, tokens) of pieces of a text, each of at most ``capacity`` tokens by ``count``, without overlap and at
+    natural boundaries where there are any."""
+    limit = max(1, int(capacity * estimate_py(text) / max(1, count(text))))
+    out: list[tuple[int, int, int]] = []
+    todo = [(a, b, limit) for a, b, _ in split_text(text, min(limit, capacity * 4), 0)][::-1]
+    while todo:
+        a, b, most = todo.pop()
+        n = count(text[a:b])
+        if n <= capacity or b - a == 1:
+            out.append((a, b, n))
+        else:  # richer in tokens than the text on the whole
+            most = max(1, most // 2) if most > 1 else 0
+            parts = split_text(text[a:b], most, 0) if most else [(i, i + 1, "") for i in range(b - a)]
+            todo += [(a + x, a + y, most) for x, y, _ in parts][::-1]
+    return out
+
 
-    No item is split unless its size exceeds the capacity; then its pieces fill whole containers but for the last,
-    which is packed with the rest. Items of null size count as 0. Repeated keys are packed each for itself. An empty
-    table gives no rows.
+def sized(items: DataFrame, capacity: int, key: str, text: str, vocabulary: str | None = None) -> DataFrame:
+    """key, piece_no, n_pieces, start_pos, end_pos, tokens of every item, or of the pieces of those larger than ``capacity``.
+
+    Tokens are the project's estimate, or exact longest-match counts over ``vocabulary`` where one is given. Null and empty
+    texts have 0 tokens and are one piece. With the estimate only oversized texts leave the JVM.
     """
-    if capacity < 1:
-        raise ValueError("capacity must be positive")
     kind = items.schema[key].dataType.simpleString()
-    sized = spread(items.select(F.col(key), F.coalesce(size.cast("bigint"), F.lit(0)).alias("size")))
-    pieces = sized.withColumn("n", F.greatest(F.lit(1), F.ceil(F.col("size") / capacity)).cast("int"))
-    # the whole pieces of oversized items are containers by themselves; the rest of each is packed
-    full = pieces.where("n > 1").select(key, "n", F.explode(F.sequence(F.lit(1), F.col("n") - 1)).alias("piece_no"))
-    full = full.select(key, F.concat_ws("-", F.lit("w"), F.col(key).cast("string"), F.col("piece_no").cast("string")).alias("container"), "piece_no", F.col("n").alias("n_pieces"), F.lit(capacity).cast("bigint").alias("tokens"), F.lit(True).alias("oversized"))
-    n = sized.count()
-    blocks = max(1, -(-n // BLOCK))
-    rest = pieces.select(key, "n", (F.col("size") - (F.col("n") - 1) * capacity).alias("size"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"))
+    names = [key, "piece_no", "n_pieces", "start_pos", "end_pos", "tokens"]
+    rows = items.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = worker_counter(vocabulary).text if vocabulary else estimate_py
+        for b in batches:
+            at, cols = [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                n = count(t)
+                parts = cut(t, capacity, count) if n > capacity else [(0, len(t), n)]
+                at += [i] * len(parts)
+                cols += [(j + 1, len(parts), s, e, m) for j, (s, e, m) in enumerate(parts)]
+            ints = [pa.array([c[j] for c in cols], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *ints], names=names)
+
+    schema = f"`{key}` {kind}, {PIECE_SCHEMA}"
+    if vocabulary:
+        return spread(rows).mapInArrow(run, schema)
+    rows = rows.withColumn("__size", estimate(F.col("__text")))
+    small = rows.where(F.col("__size") <= capacity)
+    one = F.lit(1)
+    small = small.select(key, one.alias("piece_no"), one.alias("n_pieces"), F.lit(0).alias("start_pos"), F.length("__text").alias("end_pos"), F.col("__size").alias("tokens"))
+    return small.unionByName(rows.where(F.col("__size") > capacity).select(key, "__text").mapInArrow(run, schema))
+
+
+def fill(pieces: DataFrame, capacity: Capacity, key: str, tokens: str = "tokens") -> DataFrame:
+    """The rows of :func:`sized` (or any with a key and a size column of at most the capacity) with their container:
+    key, container, piece_no, n_pieces, start_pos, end_pos, tokens, oversized.
+
+    Null sizes count as 0, sizes over the capacity raise an error. Repeated keys are packed each for itself; an empty table
+    gives no rows.
+    """
+    kind = pieces.schema[key].dataType.simpleString()
+    have = set(pieces.columns)
+    one, zero = F.lit(1).cast("int"), F.lit(0).cast("int")
+    rows = pieces.select(
+        F.col(key), *[(F.col(c).cast("int") if c in have else d).alias(c) for c, d in (("piece_no", one), ("n_pieces", one), ("start_pos", zero), ("end_pos", zero))],
+        F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)).alias("tokens"),
+    )
+    blocks = max(1, -(-rows.count() // BLOCK))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(key, "piece_no"), F.lit(blocks)).cast("int"))
+    names = [key, "container", "piece_no", "n_pieces", "start_pos", "end_pos", "tokens", "oversized"]
 
     def run(b: pd.DataFrame) -> pd.DataFrame:
         if b.empty:
-            return pd.DataFrame({key: [], "container": [], "piece_no": [], "n_pieces": [], "tokens": [], "oversized": []})
-        b = b.sort_values([key, "size"]).reset_index(drop=True)
-        where = pack(b["size"].astype(int).tolist(), capacity, most)
-        return pd.DataFrame({key: b[key], "container": [f"b{k}-{w}" for k, w in zip(b["block"], where)], "piece_no": b["n"], "n_pieces": b["n"], "tokens": b["size"], "oversized": b["n"] > 1})
-
-    packed = rest.groupBy("block").applyInPandas(run, f"`{key}` {kind}, {OUT_SCHEMA}")
-    return full.unionByName(packed)
-
-
-def containers(filled: DataFrame, capacity: int) -> DataFrame:
-    """One row per container: items, tokens, unused tokens."""
-    return filled.groupBy("container").agg(F.count("*").alias("items"), F.sum("tokens").alias("tokens")).withColumn("unused", capacity - F.col("tokens"))
+            return pd.DataFrame({c: [] for c in names})
+        b = b.sort_values([key, "piece_no", "tokens"]).reset_index(drop=True)
+        if int(b["tokens"].max()) > capacity.tokens or int(b["tokens"].min()) < 0:
+            raise ValueError("a size lies outside the capacity; cut the item first")
+        where = pack(b["tokens"].astype(int).tolist(), capacity)
+        return b.assign(container=[f"{k}-{w}" for k, w in zip(b["block"], where)], oversized=b["n_pieces"] > 1)[names]
+
+    return rows.groupBy("block").applyInPandas(run, f"`{key}` {kind}, {OUT_SCHEMA}")
+
+
+def filled(items: DataFrame, capacity: Capacity, key: str, text: str, vocabulary: str = "") -> DataFrame:
+    """Every item or piece of one in its container; with a ``vocabulary`` sizes are exact token counts."""
+    return fill(sized(items, capacity.tokens, key, text, vocabulary or None), capacity, key)
+
+
+def containers(rows: DataFrame, capacity: Capacity) -> DataFrame:
+    """One row per container: items, tokens, attention, unused tokens."""
+    n = F.col("tokens")
+    g = rows.groupBy("container").agg(F.count("*").alias("items"), F.sum(n).alias("tokens"), F.sum(n * n).alias("attention"))
+    return g.withColumn("unused", capacity.tokens - F.col("tokens"))
+
+
+def invariants(items: DataFrame, rows: DataFrame, capacity: Capacity, key: str, text: str, least_filled: float) -> DataFrame:
+    """One row: documents, whole ones and cut ones, and what must not be: containers over a capacity, documents that are
+    not covered exactly once from their first to their last character, and whether the containers are filled."""
+    of = rows.groupBy(key).agg(F.count("*").alias("n"), F.max("n_pieces").alias("pieces"), F.sum(F.col("end_pos") - F.col("start_pos")).alias("covered"), F.max("end_pos").alias("last"), F.min("start_pos").alias("first"))
+    whole = items.groupBy(key).agg(F.count("*").alias("times"), F.max(F.length(F.coalesce(F.col(text), F.lit("")))).alias("chars"))
+    both = whole.join(of, key, "left")
+    wrong = F.col("n").isNull() | (F.col("n") != F.col("times") * F.col("pieces")) | (F.col("covered") != F.col("chars") * F.col("times")) | (F.col("last") != F.col("chars")) | (F.col("first") != 0)
+    d = both.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("documents"), F.count(F.when(F.col("pieces") == 1, 1)).alias("whole"), F.count(F.when(F.col("pieces") > 1, 1)).alias("cut"), F.count(F.when(wrong, 1)).alias("miscovered"))
+    over = (F.col("tokens") > capacity.tokens) | (F.col("items") > F.lit(capacity.documents or 1 << 60)) | ((F.col("items") > 1) & (F.col("attention") > F.lit(capacity.attention or 1e300)))
+    c = containers(rows, capacity).agg(F.count(F.when(over, 1)).alias("over_capacity"), (F.sum("tokens") >= least_filled * F.count("*") * capacity.tokens).alias("filled"))
+    return d.join(F.broadcast(c))  # one row each

@@ -12,7 +12,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -204,6 +204,29 @@ def with_canonical(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return df.select(F.col(key), F.col(text).alias("text")).withColumn("canonical", canonical_column(F.col("text")))
 
 
+def _looks(tables: dict[str, tuple[DataFrame, str]], text: str) -> DataFrame:
+    """tbl, id, two hashes of the canonical form and two of the text, of every row with a text, written once."""
+    parts = []
+    for name, (df, key) in tables.items():
+        rows = with_canonical(df, key, text).where(F.col("text").isNotNull())
+        hashes = [F.xxhash64("canonical").alias("c1"), F.xxhash64(F.lit("c"), "canonical").alias("c2"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("t"), "text").alias("t2")]
+        parts.append(rows.select(F.lit(name).alias("tbl"), F.col(key).cast("bigint").alias("id"), *hashes))
+    return cut(reduce(DataFrame.unionByName, parts))
+
+
+def lookalike_classes(tables: dict[str, tuple[DataFrame, str]], text: str = "text") -> DataFrame:
+    """(tbl, id, class_id, variants, members) of every row whose text has the form of a different string: class_id is the
+    least id of the rows of that form, variants the number of different strings among its members.
+
+    The form of use at scale: one row a member, however many pairs they make. Null texts are in no class.
+    """
+    rows = _looks(tables, text)
+    look = ["tbl", "c1", "c2"]
+    variants = rows.groupBy(*look, "t1", "t2").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    several = variants.groupBy(*look).agg(F.min("least").alias("class_id"), F.count("*").alias("variants"), F.sum("n").alias("members")).where("variants > 1")
+    return rows.join(several, look).select("tbl", "id", "class_id", "variants", "members")
+
+
 def lookalike_pairs(tables: dict[str, tuple[DataFrame, str]], text: str = "text") -> DataFrame:
     """(tbl, id_a, id_b): rows of one table whose texts have the same canonical form but are not the same string.
 
@@ -211,14 +234,7 @@ def lookalike_pairs(tables: dict[str, tuple[DataFrame, str]], text: str = "text"
     before they are spread over their rows, so that a text repeated a million times makes no pairs of its own. Null
     texts are in no pair.
     """
-    parts = []
-    for name, (df, key) in tables.items():
-        rows = with_canonical(df, key, text).where(F.col("text").isNotNull())
-        parts.append(rows.select(F.lit(name).alias("tbl"), F.col(key).cast("bigint").alias("id"), F.xxhash64("canonical").alias("c1"), F.xxhash64(F.lit("c"), "canonical").alias("c2"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("t"), "text").alias("t2")))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    rows = cut(rows)
+    rows = _looks(tables, text)
     look = ["tbl", "c1", "c2"]
     variants = rows.select(*look, "t1", "t2").distinct()
     several = variants.groupBy(*look).count().where("count > 1").select(*look)

@@ -1,9 +1,11 @@
 """Sample that follows target shares of categories (problem 6).
 
 One pass keeps, per partition and category, a reservoir of the units with the lowest seeded hash and the counts of all
-units. Reservoirs merge: a unit beyond a partition's quota is beyond the quota of the whole. A histogram over the hash
-then finds the bucket in which each quota ends; buckets below it are taken whole and only that bucket is sorted, so
-that no category, however large, comes into one task.
+units. Reservoirs merge: a unit beyond a partition's quota is beyond the quota of the whole. The final counts tell which
+categories are exhausted and what quotas are feasible: the quotas are trimmed to them, by one factor for all categories
+where the shares are to be kept exactly, and the reservoirs with them. A histogram over the hash then finds the bucket in
+which each quota ends; buckets below it are taken whole and only that bucket is sorted, so that no category, however
+large, comes into one task.
 """
 
 from __future__ import annotations
@@ -46,52 +48,112 @@ def one_pass(units: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of kind ``unit`` (the partitions' reservoirs) and ``total`` (the partitions' counts)."""
     ranked = units.where(F.col("stratum_key").isNotNull()).join(wanted, "stratum_key").select("config_id", "stratum_key", "quota", "least", "unit_id", "segment_id", priority(F.col("seed"), F.col("unit_id")).alias("priority"), "tokens")
 
+    names = ["config_id", "stratum_key", "kind", "unit_id", "segment_id", "priority", "tokens", "units"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
+        held: list[pd.DataFrame] = []
+        size = trimmed = 0
+        # of each category the greatest hash that its reservoir still holds, once it is full
+        limit: dict[tuple[int, str], str] = {}
         counts: dict[tuple[int, str], list[int]] = {}
         for b in batches:
             if b.empty:
                 continue
-            for key, n, t in b.groupby(["config_id", "stratum_key"]).tokens.agg(["size", "sum"]).itertuples():
-                x = counts.setdefault(key, [0, 0])
-                x[0] += n
+            key = list(zip(b["config_id"], b["stratum_key"]))
+            for k, t in zip(key, b["tokens"]):
+                x = counts.setdefault(k, [0, 0])
+                x[0] += 1
                 x[1] += t
-            held = trim(b if held is None else pd.concat([held, b], ignore_index=True))
-        if held is not None:
-            yield held.assign(kind="unit", units=1)[["config_id", "stratum_key", "kind", "unit_id", "segment_id", "priority", "tokens", "units"]]
-            yield pd.DataFrame([(k[0], k[1], "total", None, None, None, t, n) for k, (n, t) in counts.items()], columns=["config_id", "stratum_key", "kind", "unit_id", "segment_id", "priority", "tokens", "units"]).astype({"segment_id": "Int64"})
-
-    def trim(rows: pd.DataFrame) -> pd.DataFrame:
+            b = b[[p <= limit.get(k, "g") for k, p in zip(key, b["priority"])]]  # hashes are hex digits, all below g
+            held.append(b)
+            size += len(b)
+            if size > 2 * trimmed + 5_000:  # sorted again only when it has doubled
+                held = [trim(pd.concat(held, ignore_index=True), limit)]
+                size = trimmed = len(held[0])
+        if held:
+            yield trim(pd.concat(held, ignore_index=True), limit).assign(kind="unit", units=1)[names]
+            totals = [(k[0], k[1], "total", None, None, None, t, n) for k, (n, t) in counts.items()]
+            yield pd.DataFrame(totals, columns=names).astype({"segment_id": "Int64"})
+
+    def trim(rows: pd.DataFrame, limit: dict[tuple[int, str], str]) -> pd.DataFrame:
         rows = rows.sort_values(["config_id", "stratum_key", "priority", "unit_id"], kind="stable")
-        g = rows.groupby(["config_id", "stratum_key"]).tokens
-        before = g.cumsum() - rows.tokens
-        return rows[(before < rows.quota) | (g.cumcount() < rows.least)].reset_index(drop=True)
+        g = rows.groupby(["config_id", "stratum_key"])
+        before = g.tokens.cumsum() - rows.tokens
+        fits = (before < rows.quota) | (g.cumcount() < rows.least)
+        kept = rows[fits]
+        full = rows[~fits][["config_id", "stratum_key"]].drop_duplicates()
+        last = kept.groupby(["config_id", "stratum_key"]).priority.last()
+        for k in zip(full["config_id"], full["stratum_key"]):
+            limit[k] = last.get(k, "")
+        return kept.reset_index(drop=True)
 
     return ranked.mapInPandas(run, PASS_SCHEMA)
 
 
-def report(passed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One row per target: what there is, what is wanted, and why it cannot be met (null where it can)."""
+def feasible(passed: DataFrame, wanted: DataFrame, keep_shares: bool = False) -> DataFrame:
+    """``wanted`` with what there is (units, tokens) and the quota that can be met after the final counts.
+
+    A category that has fewer tokens than its quota is exhausted: all of it is taken. The others keep their quotas, so that
+    the budget is used as far as it goes; with ``keep_shares`` all quotas of a configuration are scaled by one factor, that
+    of the scarcest category that has any units, so that the drawn shares are the target ones.
+    """
     have = passed.where("kind = 'total'").groupBy("config_id", "stratum_key").agg(F.sum("units").alias("units"), F.sum("tokens").alias("tokens"))
     joined = wanted.join(have, ["config_id", "stratum_key"], "left").fillna(0, ["units", "tokens"])
+    if keep_shares:
+        scarce = joined.where("quota > 0 and tokens > 0").groupBy("config_id").agg(F.least(F.lit(1.0), F.min(F.col("tokens") / F.col("quota"))).alias("factor"))
+        joined = joined.join(F.broadcast(scarce), "config_id", "left")  # one row a configuration
+    else:
+        joined = joined.withColumn("factor", F.lit(1.0))
+    return joined.withColumn("feasible", F.least(F.col("quota") * F.coalesce("factor", F.lit(1.0)), F.col("tokens").cast("double"))).drop("factor")
+
+
+def report(passed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One row per target: what there is, what is wanted, and why it cannot be met (null where it can)."""
     few_tokens, few_units = F.col("tokens") < F.col("quota"), F.col("units") < F.col("least")
     reason = F.when(few_tokens & few_units, "too few tokens and units").when(few_tokens, "too few tokens").when(few_units, "too few units")
-    return joined.select("config_id", "stratum_key", "target_share", "quota", F.col("least").alias("minimum_units"), "units", "tokens", reason.alias("reason"))
+    f = feasible(passed, wanted)
+    return f.select("config_id", "stratum_key", "target_share", "quota", F.col("least").alias("minimum_units"), "units", "tokens", reason.alias("reason"))
 
 
-def draw(passed: DataFrame, wanted: DataFrame) -> DataFrame:
+def draw(passed: DataFrame, wanted: DataFrame, keep_shares: bool = False) -> DataFrame:
     """The sample: config_id, stratum_key, unit_id, segment_id, tokens. Of each category the units with the lowest hash
-    whose running total stays within the quota, but at least the least number of units (all, where it has fewer)."""
+    whose running total stays within the feasible quota, but at least the least number of units (all, where it has fewer)."""
     key = ["config_id", "stratum_key"]
+    quota = feasible(passed, wanted, keep_shares).select(*key, F.col("feasible").alias("quota"), "least")
     rows = passed.where("kind = 'unit'").withColumn("bucket", F.substring("priority", 1, BUCKET_DIGITS))
     hist = rows.groupBy(*key, "bucket").agg(F.sum("tokens").alias("bt"), F.count("*").alias("bn"))
     w = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.select(*key, "bucket", "bt", "bn", F.coalesce(F.sum("bt").over(w), F.lit(0)).alias("t0"), F.coalesce(F.sum("bn").over(w), F.lit(0)).alias("n0")).join(wanted.select(*key, "quota", "least"), key)
+    before = [F.coalesce(F.sum(c).over(w), F.lit(0)).alias(n) for c, n in (("bt", "t0"), ("bn", "n0"))]
+    hist = hist.select(*key, "bucket", "bt", "bn", *before).join(quota, key)
     open_ = hist.where((F.col("t0") < F.col("quota")) | (F.col("n0") < F.col("least")))
     whole = (F.col("t0") + F.col("bt") <= F.col("quota")) | (F.col("n0") + F.col("bn") <= F.col("least"))
-    marked = open_.withColumn("whole", whole)
-    got = rows.join(marked, [*key, "bucket"])
+    got = rows.join(open_.withColumn("whole", whole), [*key, "bucket"])
     taken = got.where("whole").select(*key, "unit_id", "segment_id", "tokens")
     inner = Window.partitionBy(*key, "bucket").orderBy("priority", "unit_id")
-    last = got.where("not whole").withColumn("upto", F.col("t0") + F.sum("tokens").over(inner.rowsBetween(Window.unboundedPreceding, 0))).withColumn("rank", F.col("n0") + F.row_number().over(inner))
+    upto = F.col("t0") + F.sum("tokens").over(inner.rowsBetween(Window.unboundedPreceding, 0))
+    last = got.where("not whole").withColumn("upto", upto).withColumn("rank", F.col("n0") + F.row_number().over(inner))
     return taken.unionByName(last.where((F.col("upto") <= F.col("quota")) | (F.col("rank") <= F.col("least"))).select(*key, "unit_id", "segment_id", "tokens"))
+
+
+def reached(drawn: DataFrame, targets: DataFrame) -> DataFrame:
+    """Of every row of :func:`report` what the sample has: drawn_units, drawn_tokens, and its share of the configuration's
+    drawn tokens."""
+    got = drawn.groupBy("config_id", "stratum_key").agg(F.count("*").alias("drawn_units"), F.sum("tokens").alias("drawn_tokens"))
+    both = targets.join(got, ["config_id", "stratum_key"], "left").fillna(0, ["drawn_units", "drawn_tokens"])
+    every = both.groupBy("config_id").agg(F.sum("drawn_tokens").alias("__all"))
+    return both.join(F.broadcast(every), "config_id").withColumn("drawn_share", F.round(F.col("drawn_tokens") / F.greatest(F.lit(1), "__all"), 6)).drop("__all")
+
+
+def invariants(drawn: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row per configuration: categories, the exhausted ones, and the numbers of categories with too few units drawn,
+    over their quota, exhausted but not taken whole, and of units drawn twice."""
+    x = reached(drawn, targets)
+    twice = drawn.groupBy("config_id", "stratum_key").agg((F.count("*") - F.countDistinct("unit_id")).alias("twice"))
+    x = x.join(twice, ["config_id", "stratum_key"], "left").fillna(0, ["twice"])
+    few = F.col("drawn_units") < F.least("minimum_units", "units")
+    over = (F.col("drawn_tokens") > F.col("quota")) & (F.col("drawn_units") > F.col("minimum_units"))
+    missed = (F.col("tokens") < F.col("quota")) & (F.col("drawn_units") < F.col("units"))
+    return x.groupBy("config_id").agg(
+        F.count("*").alias("categories"), F.count(F.when(F.col("tokens") < F.col("quota"), 1)).alias("exhausted"), F.count(F.when(few, 1)).alias("too_few"),
+        F.count(F.when(over, 1)).alias("over_quota"), F.count(F.when(missed, 1)).alias("not_all_of_exhausted"), F.sum("twice").alias("twice"),
+    )

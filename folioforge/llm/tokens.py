@@ -153,21 +153,40 @@ def audit(segments: DataFrame, path: str = VOCABULARY) -> DataFrame:
     return rows.withColumn("mistaken", mistaken(F.col("token_estimate"), F.col("text_estimate")))
 
 
-def totals(segments: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """Tokens by source file and language, each unit once.
+def host(url: Column) -> Column:
+    """The domain of a URL in lower case without ``www.`` and port; null where there is none."""
+    found = F.regexp_extract(F.lower(F.trim(url)), r"^(?:[a-z][a-z0-9+.-]*:)?//(?:www\.)?([^/:?#]+)", 1)
+    return F.when(found != "", found)
+
+
+def named_sources(registry: DataFrame) -> DataFrame:
+    """source_id, file and domain of every source: of repeated ones the latest version (of ties the greatest registry_id).
+
+    Rows without a source_id name none. Repeated rows meet in a partial aggregation."""
+    order = F.struct(F.coalesce(F.col("version"), F.lit(0)), F.col("registry_id"))
+    last = registry.where(F.col("source_id").isNotNull()).groupBy("source_id").agg(F.max_by(F.struct("filename", "canonical_url"), order).alias("r"))
+    return last.select("source_id", file_name(F.col("r.filename")).alias("registered_file"), host(F.col("r.canonical_url")).alias("domain"))
+
+
+def totals(segments: DataFrame, registry: DataFrame, path: str = VOCABULARY) -> DataFrame:
+    """Tokens by source file, domain and language, each unit once.
 
     A unit is a unit_id (rows without one count each for itself); of rows of one unit the lowest segment_id is taken.
     The language is the text's own, found by the models of :mod:`folioforge.llm.lid`; file names are brought to one
-    spelling. The first aggregation is by unit, the second partial before its shuffle, so that a large source is no
-    hot group.
+    spelling, and a missing one is the registered file of the source. The registry meets the totals by source, not the
+    segments. The first aggregation is by unit, the second partial before its shuffle, so that a large source is no hot
+    group. Unknown files, domains and languages are null.
     """
     model = lid.fit(segments, "text", "language", "segment_id")
-    s = segments.select("segment_id", "unit_id", "source_file", "text")
-    n = counted(spread(s), ["segment_id", "unit_id", "source_file", "text"], path=path).withColumnRenamed("text", "body")
-    found = lid.languages_of(n, model, "segment_id", "body", ["unit_id", "source_file", "text_estimate", "tokens"]).where("passage_rank = 1")
+    keep = ["segment_id", "unit_id", "source_file", "source_id"]
+    n = counted(spread(segments.select(*keep, "text")), [*keep, "text"], path=path).withColumnRenamed("text", "body")
+    found = lid.languages_of(n, model, "segment_id", "body", ["unit_id", "source_file", "source_id", "text_estimate", "tokens"]).where("passage_rank = 1")
     unit = F.coalesce(F.col("unit_id"), F.concat(F.lit("#"), F.col("segment_id").cast("string")))
-    once = found.groupBy(unit.alias("unit")).agg(F.min_by(F.struct("source_file", "lang", "text_estimate", "tokens"), "segment_id").alias("u"))
-    return (
-        once.groupBy(file_name(F.col("u.source_file")).alias("source_file"), F.col("u.lang").alias("language"))
+    once = found.groupBy(unit.alias("unit")).agg(F.min_by(F.struct("source_file", "source_id", "lang", "text_estimate", "tokens"), "segment_id").alias("u"))
+    sums = [F.sum("units").alias("units"), F.sum("token_estimate").alias("token_estimate"), F.sum("tokens").alias("tokens")]
+    by_source = (
+        once.groupBy(file_name(F.col("u.source_file")).alias("own_file"), F.col("u.source_id").alias("source_id"), F.col("u.lang").alias("language"))
         .agg(F.count("*").alias("units"), F.sum("u.text_estimate").alias("token_estimate"), F.sum("u.tokens").alias("tokens"))
     )
+    named = by_source.join(named_sources(registry), "source_id", "left")
+    return named.groupBy(F.coalesce("own_file", "registered_file").alias("source_file"), "domain", "language").agg(*sums)

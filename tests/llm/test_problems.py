@@ -105,9 +105,38 @@ def test_audit_and_file_names(spark):
 
 def test_totals_count_each_unit_once(spark):
     text = "The man who was there said that it is not yet known whether they had been to the house."
-    rows = [(1, "u1", "A.txt", "en", text), (2, "u1", "./a.TXT", None, text), (3, None, "a.txt", "fr", text), (4, "u2", None, "en", None)]
-    got = {(r["source_file"], r["language"]): (r["units"], r["token_estimate"]) for r in tokens.totals(spark.createDataFrame(rows, "segment_id bigint, unit_id string, source_file string, language string, text string")).collect()}
-    assert got == {("a.txt", "en"): (2, 2 * estimate_py(text)), (None, None): (1, 0)}
+    rows = [(1, "u1", "A.txt", "s1", "en", text), (2, "u1", "./a.TXT", "s1", None, text), (3, None, "a.txt", None, "fr", text), (4, "u2", None, "s9", "en", None), (5, "u3", None, "s1", "en", text)]
+    registry = [(1, "s1", "old.txt", "http://old.org", 1), (2, "s1", "x/A.txt", "HTTPS://www.Site.org:80/p", 2), (3, None, "n.txt", None, None)]
+    segments = spark.createDataFrame(rows, "segment_id bigint, unit_id string, source_file string, source_id string, language string, text string").withColumn("tokens", F.lit("clash"))
+    registered = spark.createDataFrame(registry, "registry_id bigint, source_id string, filename string, canonical_url string, version int")
+    got = {(r["source_file"], r["domain"], r["language"]): (r["units"], r["token_estimate"]) for r in tokens.totals(segments, registered).collect()}
+    n = estimate_py(text)
+    assert got == {("a.txt", "site.org", "en"): (2, 2 * n), ("a.txt", None, "en"): (1, n), (None, None, None): (1, 0)}
+    assert tokens.totals(segments.limit(0), registered.limit(0)).count() == 0
+
+
+def test_tokens_are_those_of_longest_match(spark, root):
+    """All words of all segments against a greedy search for the longest piece."""
+    pieces = set(tokens.vocabulary())
+    longest = max(map(len, pieces))
+    known = {}
+
+    def brute(word):
+        n = i = 0
+        while i < len(word):
+            j = next((j for j in range(min(len(word), i + longest), i, -1) if word[i:j] in pieces), None)
+            n, i = (n + 1, j) if j else (n + len(word[i].encode()), i + 1)
+        return n
+
+    rows = spark.read.parquet(f"{root}/segments.parquet").select("segment_id", "text")
+    texts = {r["segment_id"]: r["text"] for r in rows.collect()}
+    for r in tokens.counted(rows, ["segment_id"]).collect():
+        total = 0
+        for w in (texts[r["segment_id"]] or "").split():
+            if w not in known:
+                known[w] = brute(tokens.START + w)
+            total += known[w]
+        assert r["tokens"] == total
 
 
 # 3 encodings
@@ -227,6 +256,12 @@ def test_sampling_report_and_draw(spark):
         want.append(u)
         t += n
     assert sorted(r["unit_id"] for r in big) == sorted(want) and sum(r["stratum_key"] == "small" and r["config_id"] == 1 for r in got) == 3
+    inv = {r["config_id"]: r for r in sample.invariants(sample.draw(passed, wanted), sample.report(passed, wanted)).collect()}
+    assert inv[1]["exhausted"] == 2 and all(r[c] == 0 for r in inv.values() for c in ("too_few", "over_quota", "not_all_of_exhausted", "twice"))
+    # with the shares kept the small category's six tokens set the scale: 48 to 6
+    kept = {r["stratum_key"]: r["drawn_tokens"] for r in sample.reached(sample.draw(passed, wanted, keep_shares=True), sample.report(passed, wanted)).where("config_id = 1").collect()}
+    small = units.where("stratum_key = 'small'").agg(F.sum("tokens")).first()[0]
+    assert kept["small"] == small and kept["big"] <= max(8 * small, 60) and kept["gone"] == 0
     assert sample.report(sample.one_pass(units.limit(0), wanted), wanted).where("reason is null").count() == 0
 
 
@@ -244,6 +279,13 @@ def test_canonical_form():
         assert lookalike.canonical(lookalike.canonical(t)) == lookalike.canonical(t)
 
 
+def test_classes_have_the_pairs(spark):
+    texts = ["ab", "аb", "ab", "x", None, "a\u200bb", "x", "y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").withColumn("class_id", F.lit("clash"))
+    got = {(r["id"], r["class_id"], r["variants"], r["members"]) for r in lookalike.lookalike_classes({"t": (df, "id")}).collect()}
+    assert got == {(i, 0, 3, 4) for i in (0, 1, 2, 5)}
+
+
 def test_jvm_shortcut_and_pairs_against_brute_force(spark):
     rng = random.Random(8)
     base = ["Bregar kept the price of salt", "Осень и соль на столе", "第２稿は朝凪", "plain text", "café au lait", "नमक का भाव", "ﬁle one", "соль and salt"]
@@ -260,21 +302,48 @@ def test_jvm_shortcut_and_pairs_against_brute_force(spark):
 # 8 containers
 
 
-def test_packing_is_tight_and_whole(spark):
+def test_packing_is_tight_and_whole():
     rng = random.Random(6)
     sizes = [rng.randrange(0, 900) for _ in range(3000)]
-    where = fill.pack(sizes, 1000)
-    load, docs = {}, {}
+    where = fill.pack(sizes, fill.Capacity(1000))
+    load = {}
     for s, w in zip(sizes, where):
-        load[w], docs[w] = load.get(w, 0) + s, docs.get(w, 0) + 1
-    assert max(load.values()) <= 1000 and max(docs.values()) <= fill.MOST_DOCUMENTS and len(load) <= 1.03 * sum(sizes) / 1000 + 2
-    rows = [(i, s) for i, s in enumerate([*sizes[:200], 2500, 1000, 1001, None])] + [(0, 5)]
-    out = fill.fill(spark.createDataFrame(rows, "id bigint, size bigint").withColumn("container", F.lit("clash")), 1000, "id", F.col("size"))
-    got = out.collect()
-    assert sum(r["tokens"] for r in got) == sum(s or 0 for _, s in rows)
-    assert {r["id"] for r in got if r["oversized"]} == {200, 202} and sum(r["id"] == 200 for r in got) == 3
-    assert max(r["tokens"] for r in fill.containers(out, 1000).collect()) <= 1000
-    assert fill.fill(spark.createDataFrame([], "id bigint, size bigint"), 1000, "id", F.col("size")).count() == 0
+        load[w] = load.get(w, 0) + s
+    assert max(load.values()) <= 1000 and len(load) <= 1.01 * sum(sizes) / 1000 + 2
+    assert len(set(fill.pack([5] * 1000, fill.Capacity(1000)))) == 5 and fill.pack([], fill.Capacity(9)) == []
+
+
+@pytest.mark.parametrize("bound", [{"documents": 3}, {"attention": 300_000.0}, {"documents": 4, "attention": 400_000.0}])
+def test_every_capacity_binds(bound):
+    rng = random.Random(7)
+    sizes = [rng.randrange(1, 900) for _ in range(1500)]
+    capacity = fill.Capacity(1000, **bound)
+    load, docs, cost = {}, {}, {}
+    for s, w in zip(sizes, fill.pack(sizes, capacity)):
+        load[w], docs[w], cost[w] = load.get(w, 0) + s, docs.get(w, 0) + 1, cost.get(w, 0) + s * s
+    assert max(load.values()) <= 1000 and max(docs.values()) <= bound.get("documents", 10**9)
+    assert all(c <= bound.get("attention", 1e18) for w, c in cost.items() if docs[w] > 1)
+    assert len(load) > len(set(fill.pack(sizes, fill.Capacity(1000))))
+
+
+def test_containers(spark):
+    text = "one two three four five six seven. " * 40
+    rows = [(1, text), (2, "short"), (3, None), (4, ""), (5, text * 6), (2, "short"), (6, "字" * 3000), (7, "x" * 4000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("container", F.lit("clash")).withColumn("tokens", F.lit("clash"))
+    for vocabulary in ("", tokens.VOCABULARY):
+        count = tokens.Counter(tokens.vocabulary()).text if vocabulary else estimate_py
+        capacity = fill.Capacity(500, 30, 200_000.0)
+        got = fill.filled(df, capacity, "doc_id", "text", vocabulary)
+        out = got.collect()
+        bodies = dict(rows)
+        for r in out:
+            assert r["tokens"] == count((bodies[r["doc_id"]] or "")[r["start_pos"] : r["end_pos"]]) <= 500
+            assert r["oversized"] == (count(bodies[r["doc_id"]] or "") > 500)
+        inv = fill.invariants(df, got, capacity, "doc_id", "text", 0.0).first()
+        assert (inv["documents"], inv["miscovered"], inv["over_capacity"]) == (8, 0, 0)
+        assert fill.filled(df.limit(0), capacity, "doc_id", "text", vocabulary).count() == 0
+    with pytest.raises(ValueError):
+        fill.Capacity(0)
 
 
 def test_needs_work_knows_all_of_nfc(spark):
