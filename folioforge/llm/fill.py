@@ -9,12 +9,11 @@ it leaves, among all open ones that hold it under every constraint.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,8 +85,7 @@ def pack(sizes: list[int], capacity: Capacity) -> list[int]:
     return out
 
 
-PIECE_SCHEMA = "piece_no int, n_pieces int, start_pos int, end_pos int, tokens bigint"
-OUT_SCHEMA = f"container string, {PIECE_SCHEMA}, oversized boolean"
+OUT_SCHEMA = "container string, piece_no int, n_pieces int, start_pos int, end_pos int, tokens bigint, oversized boolean"
 
 
 def cut(text: str, capacity: int, count: Callable[[str], int]) -> list[tuple[int, int, int]]:
@@ -114,37 +112,36 @@ def sized(items: DataFrame, capacity: int, key: str, text: str, vocabulary: str
     Tokens are the project's estimate, or exact longest-match counts over ``vocabulary`` where one is given. Null and empty
     texts have 0 tokens and are one piece. With the estimate only oversized texts leave the JVM.
     """
-    kind = items.schema[key].dataType.simpleString()
-    names = [key, "piece_no", "n_pieces", "start_pos", "end_pos", "tokens"]
     rows = items.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("array<struct<start_pos:int,end_pos:int,tokens:bigint>>")
+    def cut_up(texts: pd.Series) -> pd.Series:
         count = worker_counter(vocabulary).text if vocabulary else estimate_py
-        for b in batches:
-            at, cols = [], []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                n = count(t)
-                parts = cut(t, capacity, count) if n > capacity else [(0, len(t), n)]
-                at += [i] * len(parts)
-                cols += [(j + 1, len(parts), s, e, m) for j, (s, e, m) in enumerate(parts)]
-            ints = [pa.array([c[j] for c in cols], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *ints], names=names)
-
-    schema = f"`{key}` {kind}, {PIECE_SCHEMA}"
+
+        def one(t: str | None) -> list[dict] | None:
+            if t is None:
+                return None
+            n = count(t)
+            return [{"start_pos": a, "end_pos": b, "tokens": m} for a, b, m in (cut(t, capacity, count) if n > capacity else [(0, len(t), n)])]
+
+        return texts.map(one, na_action=None)
+
+    body = F.col("__text")
     if vocabulary:
-        return spread(rows).mapInArrow(run, schema)
-    rows = rows.withColumn("__size", estimate(F.col("__text")))
-    small = rows.where(F.col("__size") <= capacity)
-    one = F.lit(1)
-    small = small.select(key, one.alias("piece_no"), one.alias("n_pieces"), F.lit(0).alias("start_pos"), F.length("__text").alias("end_pos"), F.col("__size").alias("tokens"))
-    return small.unionByName(rows.where(F.col("__size") > capacity).select(key, "__text").mapInArrow(run, schema))
+        cuts = spread(rows).select(key, cut_up(body).alias("__cuts"))
+    else:  # one scan: the texts that fit are sized in the JVM, the others alone are handed over
+        rows = rows.withColumn("__size", estimate(body))
+        whole = F.array(F.struct(F.lit(0).alias("start_pos"), F.length(body).alias("end_pos"), F.col("__size").alias("tokens")))
+        cuts = rows.select(key, F.coalesce(cut_up(F.when(F.col("__size") > capacity, body)), whole).alias("__cuts"))
+    out = cuts.select(key, F.size("__cuts").alias("n_pieces"), F.posexplode("__cuts").alias("__i", "__c"))
+    return out.select(key, (F.col("__i") + 1).alias("piece_no"), "n_pieces", "__c.start_pos", "__c.end_pos", "__c.tokens")
 
 
-def fill(pieces: DataFrame, capacity: Capacity, key: str, tokens: str = "tokens") -> DataFrame:
+def fill(pieces: DataFrame, capacity: Capacity, key: str, tokens: str = "tokens", items: int | None = None) -> DataFrame:
     """The rows of :func:`sized` (or any with a key and a size column of at most the capacity) with their container:
     key, container, piece_no, n_pieces, start_pos, end_pos, tokens, oversized.
 
-    Null sizes count as 0, sizes over the capacity raise an error. Repeated keys are packed each for itself; an empty table
+    ``items``: how many there are at about, where that is known cheaper than by counting. Null sizes count as 0, sizes over the capacity raise an error. Repeated keys are packed each for itself; an empty table
     gives no rows.
     """
     kind = pieces.schema[key].dataType.simpleString()
@@ -154,7 +151,7 @@ def fill(pieces: DataFrame, capacity: Capacity, key: str, tokens: str = "tokens"
         F.col(key), *[(F.col(c).cast("int") if c in have else d).alias(c) for c, d in (("piece_no", one), ("n_pieces", one), ("start_pos", zero), ("end_pos", zero))],
         F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)).alias("tokens"),
     )
-    blocks = max(1, -(-rows.count() // BLOCK))
+    blocks = max(1, -(-(rows.count() if items is None else items) // BLOCK))
     rows = rows.withColumn("block", F.pmod(F.xxhash64(key, "piece_no"), F.lit(blocks)).cast("int"))
     names = [key, "container", "piece_no", "n_pieces", "start_pos", "end_pos", "tokens", "oversized"]
 
@@ -172,7 +169,7 @@ def fill(pieces: DataFrame, capacity: Capacity, key: str, tokens: str = "tokens"
 
 def filled(items: DataFrame, capacity: Capacity, key: str, text: str, vocabulary: str = "") -> DataFrame:
     """Every item or piece of one in its container; with a ``vocabulary`` sizes are exact token counts."""
-    return fill(sized(items, capacity.tokens, key, text, vocabulary or None), capacity, key)
+    return fill(sized(items, capacity.tokens, key, text, vocabulary or None), capacity, key, items=items.count())
 
 
 def containers(rows: DataFrame, capacity: Capacity) -> DataFrame:
