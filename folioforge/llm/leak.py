@@ -2,9 +2,11 @@
 
 A distributed positional inverted index. Both sides are cut into terms without case, punctuation, spacing, markup and
 look-alike characters: words, and single characters of scripts without spaces. The index holds the postings (term,
-document, position) of the runs of N terms of the training texts; of an item's runs the lists are taken rarest first
-and intersected after shifting each posting by the run's place in the item, so that a copied passage shows as many
-postings on one diagonal. Candidates are then checked term by term for the longest passage with few alterations.
+document, position) of the runs of N terms of the training texts that may be runs of an item, by a Bloom filter of
+bounded size. Of an item's runs the lists are taken rarest first: a document that has too few of them cannot hold the
+passage and is left out before any longer list is opened. The lists of the documents left are intersected after shifting
+each posting by the run's place in the item, so that a copied passage shows as many postings on one diagonal. Candidates
+are then checked term by term for the longest passage with few alterations.
 """
 
 from __future__ import annotations
@@ -28,12 +30,10 @@ RUN_WORDS, RUN_SIGNS = 3, 4
 SHARE, ALTERED = 0.5, 0.11
 #: How far insertions and deletions may shift a diagonal, and how much of the share runs must cover for a candidate.
 DRIFT, COVER = 12, 0.5
-#: Share of an item's runs, the rarest, of which one must meet a document. A passage of half an item with every ninth
-#: term altered keeps over a third of the runs, so that it always meets one of them.
-RAREST = 0.8
-#: Items up to so many runs are sent to all tasks as a set of hashes, so that other runs of the training texts never
-#: leave their task; beyond it the postings are joined without that filter.
-FILTER_RUNS = 2_000_000
+#: Bits of the Bloom filter for each run of an item, the most it has in all (32 MB), and its hash functions.
+BLOOM_BITS, BLOOM_MOST, BLOOM_HASHES = 24, 1 << 28, 3
+#: Item runs and candidate documents up to so many rows are broadcast; beyond it both sides are shuffled, hot runs salted.
+BROADCAST_ROWS, SALT = 2_000_000, 16
 
 _MARKUP = re.compile(r"<[^<>\n]{1,200}>|&[a-z]{2,8};|\]\([^()\s]*\)")
 _TERM = re.compile(r"[぀-ヿ㐀-鿿\U00020000-\U0002ffff]|(?:(?![぀-ヿ㐀-鿿])[^\W_])+")
@@ -96,16 +96,16 @@ def _hash(t: str) -> int:
     return h
 
 
-def runs(h: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position) of every run of terms: RUN_SIGNS terms where it begins with a sign, RUN_WORDS elsewhere."""
+def runs(h: np.ndarray, signs: np.ndarray, words: tuple[int, ...] = (RUN_WORDS,), chars: tuple[int, ...] = (RUN_SIGNS,)) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, position) of every run of terms: of ``chars`` terms where it begins with a sign, of ``words`` elsewhere."""
     out_h, out_p = [], []
     mul = np.uint64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
-        for n, wanted in ((RUN_WORDS, ~signs), (RUN_SIGNS, signs)):
+        for n, wanted in [(n, ~signs) for n in words] + [(n, signs) for n in chars]:
             if len(h) < n:
                 continue
             m = len(h) - n + 1
-            r = np.zeros(m, np.uint64)
+            r = np.full(m, n if n not in (RUN_WORDS, RUN_SIGNS) else 0, np.uint64)
             for i in range(n):
                 r = (r ^ h[i : i + m]) * mul
                 r ^= r >> np.uint64(31)
@@ -117,11 +117,18 @@ def runs(h: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out_h), np.concatenate(out_p)
 
 
-def _signs(ts: list[str]) -> np.ndarray:
-    return np.fromiter(("\u3040" <= t[0] <= "\u9fff" or t[0] >= "\U00020000" for t in ts), bool, len(ts))
+def own_runs(h: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Runs of an item as of a text, and 0; of an item too short to have any its terms as a whole, and their number."""
+    r, at = runs(h, signs)
+    if len(r) or not len(h):
+        return r, at, 0
+    n = len(h)
+    r, at = runs(h, signs, (n,), (n,))
+    return r[at == 0], at[at == 0], n
 
 
-POSTING = "`{key}` {kind}, run bigint, position int"
+def _signs(ts: list[str]) -> np.ndarray:
+    return np.fromiter(("\u3040" <= t[0] <= "\u9fff" or t[0] >= "\U00020000" for t in ts), bool, len(ts))
 
 
 def needed(n: int) -> int:
@@ -130,59 +137,98 @@ def needed(n: int) -> int:
     return max(1, math.floor(n * SHARE * COVER) - 2)
 
 
-class Wanted:
-    """The runs of all items, as sorted arrays: what a task needs to leave out runs and documents that cannot matter."""
-
-    def __init__(self, rows: list[tuple[int, int, int, int]]):
-        """rows: (run, item number, place in the item, runs that a candidate must have of the item)."""
-        t = np.array(sorted(rows), np.int64).reshape(-1, 4)
-        t = t[np.argsort(t[:, 0].view(np.uint64) if len(t) else t[:, 0], kind="stable")]
-        self.runs, self.first, self.many = np.unique(t[:, 0].astype(np.int64).view(np.uint64), return_index=True, return_counts=True)
-        self.item, self.at = t[:, 1], t[:, 2]
-        self.need = np.zeros(int(self.item.max()) + 1 if len(t) else 1, np.int64)
-        self.need[self.item] = t[:, 3]
-        self.least = int(self.need[self.need > 0].min()) if len(t) else 1
-
-    def keep(self, h: np.ndarray) -> np.ndarray:
-        """Which runs of a text belong to an item of which the text has as many different runs as a candidate must."""
-        if not len(self.runs) or not len(h):
-            return np.zeros(len(h), bool)
-        j = np.minimum(np.searchsorted(self.runs, h), len(self.runs) - 1)
-        hit = self.runs[j] == h
-        if hit.sum() < self.least:
-            return np.zeros(len(h), bool)
-        u = np.unique(j[hit])
-        rows = np.repeat(self.first[u] - np.concatenate([[0], np.cumsum(self.many[u])[:-1]]), self.many[u]) + np.arange(self.many[u].sum())
-        enough = np.bincount(self.item[rows], minlength=len(self.need)) >= self.need
-        good = u[np.add.reduceat(enough[self.item[rows]].astype(np.int64), np.concatenate([[0], np.cumsum(self.many[u])[:-1]])) > 0]
-        return hit & np.isin(j, good)
-
-
-def postings(df: DataFrame, key: str, text: str, wanted: Wanted | None = None) -> DataFrame:
-    """(key, run, position) of every run of every text, or only of those that ``wanted`` keeps. Null and empty texts have
-    none."""
+def item_postings(items: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, run, at, whole) of every run of every item; ``whole`` is the number of terms of an item that has no other run."""
+    kind = items.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, rh, rp, rw = [], [], [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                ts = terms(t)
+                h, p, n = own_runs(_fold(ts), _signs(ts)) if ts else ((), (), 0)
+                row += [i] * len(h)
+                rh += [int(x) for x in np.asarray(h, np.uint64).view(np.int64)]
+                rp += [int(x) for x in p]
+                rw += [n] * len(h)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(rh, pa.int64()), pa.array(rp, pa.int32()), pa.array(rw, pa.int32())], names=[key, "run", "at", "whole"])
+
+    return items.select(F.col(key), F.col(text).alias("text")).mapInArrow(run, f"`{key}` {kind}, run bigint, at int, whole int")
+
+
+class Bloom:
+    """A Bloom filter over 64-bit hashes; its size follows from the number of hashes up to a bound."""
+
+    def __init__(self, bits: int, field: np.ndarray | None = None):
+        self.bits = bits
+        self.field = np.zeros(bits // 8, np.uint8) if field is None else field
+
+    @staticmethod
+    def size(n: int) -> int:
+        return min(BLOOM_MOST, 1 << max(10, (n * BLOOM_BITS - 1).bit_length()))
+
+    def places(self, h: np.ndarray) -> Iterator[np.ndarray]:
+        step = (h >> np.uint64(33)) | np.uint64(1)
+        with np.errstate(over="ignore"):
+            for i in range(BLOOM_HASHES):
+                yield (h + np.uint64(i) * step) & np.uint64(self.bits - 1)
+
+    def add(self, h: np.ndarray) -> None:
+        for p in self.places(h):
+            np.bitwise_or.at(self.field, p >> np.uint64(3), (np.uint8(1) << (p & np.uint64(7)).astype(np.uint8)))
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
+        for p in self.places(h):
+            out &= (self.field[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+        return out
+
+
+def bloom_of(item_runs: DataFrame) -> Bloom:
+    """Filter of all runs of ``item_runs``, each task's part being put together before it comes here (at most 32 MB each)."""
+    bits = Bloom.size(max(1, item_runs.count()))
+    parts = max(1, min(item_runs.rdd.getNumPartitions(), (1 << 29) // bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Bloom(bits)
+        for b in batches:
+            own.add(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array([own.field.tobytes()], pa.binary())], names=["field"])
+
+    out = Bloom(bits)
+    for r in item_runs.select("run").distinct().coalesce(parts).mapInArrow(run, "field binary").toLocalIterator():
+        out.field |= np.frombuffer(r["field"], np.uint8)
+    return out
+
+
+def postings(df: DataFrame, key: str, text: str, bloom: Bloom, least: int, words: tuple[int, ...], chars: tuple[int, ...]) -> DataFrame:
+    """(key, run, position, first) of the runs of every text that the filter lets through, of texts with at least ``least``
+    different ones; ``first`` where the run stands there for the first time. Null and empty texts have none."""
     kind = df.schema[key].dataType.simpleString()
-    held = None if wanted is None else df.sparkSession.sparkContext.broadcast(wanted)
+    held = df.sparkSession.sparkContext.broadcast(bloom)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom_ = held.value
         for b in batches:
-            row, rh, rp = [], [], []
+            row, rh, rp, rf = [], [], [], []
             for i, t in enumerate(b.column(1).to_pylist()):
                 ts = terms(t)
                 if not ts:
                     continue
-                h, p = runs(_fold(ts), _signs(ts))
-                if held is not None:
-                    keep = held.value.keep(h)
-                    h, p = h[keep], p[keep]
-                if len(h):
-                    row.append(np.full(len(h), i))
-                    rh.append(h)
-                    rp.append(p)
+                h, p = runs(_fold(ts), _signs(ts), words, chars)
+                keep = bloom_.has(h)
+                h, p = h[keep], p[keep]
+                if len(h) >= least:
+                    _, at = np.unique(h, return_index=True)
+                    if len(at) >= least:
+                        row.append(np.full(len(h), i))
+                        rh.append(h)
+                        rp.append(p)
+                        rf.append(np.isin(np.arange(len(h)), at))
             if row:
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(row))), pa.array(np.concatenate(rh).view(np.int64)), pa.array(np.concatenate(rp).astype(np.int32))], names=[key, "run", "position"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(row))), pa.array(np.concatenate(rh).view(np.int64)), pa.array(np.concatenate(rp).astype(np.int32)), pa.array(np.concatenate(rf))], names=[key, "run", "position", "first"])
 
-    return df.select(F.col(key), F.col(text).alias("text")).mapInArrow(run, POSTING.format(key=key, kind=kind))
+    return df.select(F.col(key), F.col(text).alias("text")).mapInArrow(run, f"`{key}` {kind}, run bigint, position int, first boolean")
 
 
 def _distance(x: list[int], y: list[int]) -> int:
@@ -288,61 +334,77 @@ def longest_passage(item: np.ndarray, doc: np.ndarray, pairs: list[tuple[int, in
     return best
 
 
+def _meet(index: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """``index`` joined with the few rows of items on ``run``: broadcast where they are few enough, else both shuffled, with
+    the run's postings over SALT tasks, as one run may stand in a third of all documents."""
+    if small_enough(side, BROADCAST_ROWS):
+        return index.join(F.broadcast(side), "run")
+    salted = side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return index.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALT)).cast("int")).join(salted, ["run", "salt"]).drop("salt")
+
+
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", item_text: str = "text") -> DataFrame:
     """One row per document and item that leaked into it: key, item_id, share (of the item's terms in the longest
     passage), altered, position (of the passage in the document's terms).
 
-    Null and empty texts hold nothing; an item of fewer terms than a run is met only by whole equality of its terms.
-    Repeated documents count each with its own key.
+    Null and empty texts hold nothing; an item of fewer terms than a run is met where a document has all its terms in a
+    row. Repeated documents count each with its own key. The plan is the same for any number of items; the jobs up to the
+    candidates run while it is built.
     """
-    item_runs = cut(postings(items.where(F.col(item_text).isNotNull()), item_key, item_text).withColumnRenamed("position", "at"))
-    size = cut(item_runs.groupBy(item_key).agg((F.max("at") + 1).alias("runs")))
-    wanted = None
-    if small_enough(item_runs, FILTER_RUNS):
-        need = {r[0]: needed(r[1]) for r in size.collect()}
-        number = {k: i for i, k in enumerate(need)}
-        wanted = Wanted([(r[0], number[r[1]], r[2], need[r[1]]) for r in item_runs.select("run", item_key, "at").collect()])
-    index = cut(postings(docs, key, text, wanted))
-    # rarest first: of each item's runs the rarest part must meet a document, before any longer list is opened
-    frequency = index.groupBy("run").agg(F.count("*").alias("df"))
-    order = Window.partitionBy(item_key).orderBy(F.coalesce("df", F.lit(0)), "run", "at")
-    ranked = item_runs.join(frequency, "run", "left").withColumn("place", F.percent_rank().over(order))
-    seeds = ranked.where(F.col("place") <= RAREST).select(item_key, "run").distinct()
-    met = cut(index.select(key, "run").distinct().join(seeds, "run").select(key, item_key).distinct())
-    near = index.join(met.select(key).distinct(), key, "left_semi")
-    hits = near.join(item_runs, "run").join(met, [key, item_key], "left_semi")
+    item_runs = cut(item_postings(items.where(F.col(item_text).isNotNull()), item_key, item_text))
+    want = F.greatest(F.lit(1), F.floor(F.col("runs") * SHARE * COVER) - 2).cast("int")
+    size = cut(item_runs.groupBy(item_key).agg((F.max("at") + 1).alias("runs"), F.max("whole").alias("whole")).withColumn("need", want))
+    known = size.agg(F.min("need"), F.collect_set(F.when(F.col("whole") > 0, F.col("whole")))).first()  # lengths below a run: 1 to 3
+    short = tuple(sorted(known[1] or ()))
+    words, chars = (RUN_WORDS, *[n for n in short if n < RUN_WORDS]), (RUN_SIGNS, *[n for n in short if n < RUN_SIGNS])
+    index = cut(postings(docs, key, text, bloom_of(item_runs), int(known[0] or 1), words, chars))
+    # rarest first: of the item's runs the most frequent ones, half of what a candidate must have, are left unopened
+    frequency = index.where("first").groupBy("run").agg(F.count("*").alias("df"))
+    order = Window.partitionBy(item_key).orderBy(F.desc(F.coalesce("df", F.lit(0))), "run", "at")
+    ranked = item_runs.join(frequency, "run", "left").join(size, item_key).withColumn("place", F.row_number().over(order))
+    seeds = cut(ranked.where(F.col("place") > F.floor(F.col("need") / 2)).select(item_key, "run", F.ceil(F.col("need") / 2).alias("least")).distinct())
+    seen = _meet(index.where("first").select(key, "run"), seeds, key).groupBy(key, item_key).agg(F.count("*").alias("n"), F.max("least").alias("least"))
+    met = cut(seen.where("n >= least").select(key, item_key))
+    few = small_enough(met, BROADCAST_ROWS)
+    some = F.broadcast(met.select(key).distinct()) if few else met.select(key).distinct()
+    near = _meet(index.join(some, key, "left_semi").select(key, "run", "position"), item_runs.select(item_key, "run", "at"), key)
+    hits = near.join(F.broadcast(met) if few else met, [key, item_key], "left_semi")
     # intersection of the offset-adjusted lists: postings of one passage lie on one diagonal
     hits = cut(hits.select(key, item_key, F.col("position"), "at", F.floor((F.col("position") - F.col("at")) / (2 * DRIFT)).alias("band")))
-    both = hits.select(key, item_key, "at", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    bands = both.groupBy(key, item_key, "band").agg(F.countDistinct("at").alias("n"))
-    found = bands.join(size, item_key).where(F.col("n") >= F.greatest(F.lit(1), F.floor(F.col("runs") * SHARE * COVER) - 2)).select(key, item_key).distinct()
-    places = hits.join(found, [key, item_key], "left_semi").groupBy(key, item_key).agg(F.collect_list(F.struct("at", "position")).alias("places"))
-    texts = places.join(docs.select(F.col(key), F.col(text).alias("doc_text")), key).join(items.select(F.col(item_key), F.col(item_text).alias("item_body")), item_key)
-    return _check(texts.select(key, item_key, "places", "doc_text", "item_body"), key, item_key)
+    both = hits.select(key, item_key, F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    bands = both.groupBy(key, item_key, "band").agg(F.count("*").alias("n"))
+    found = bands.join(size, item_key).where("n >= need").select(key, item_key).distinct()
+    places = cut(hits.join(found, [key, item_key], "left_semi").groupBy(key, item_key).agg(F.collect_list(F.struct("at", "position")).alias("places")))
+    # only the texts of documents with candidates move, each once for all its items
+    bodies = items.select(F.col(item_key), F.col(item_text).alias("item_body"))
+    of = places.join(bodies, item_key).groupBy(key).agg(F.collect_list(F.struct(item_key, "places", "item_body")).alias("items"))
+    keys = places.select(key).distinct()
+    texts = docs.select(F.col(key), F.col(text).alias("doc_text")).join(F.broadcast(keys) if small_enough(keys, BROADCAST_ROWS) else keys, key, "left_semi")
+    return _check(texts.join(of, key).select(key, "doc_text", "items"), key, item_key, items.schema[item_key].dataType.simpleString())
 
 
-def _check(candidates: DataFrame, key: str, item_key: str) -> DataFrame:
-    kinds = [candidates.schema[c].dataType.simpleString() for c in (key, item_key)]
+def _check(candidates: DataFrame, key: str, item_key: str, item_kind: str) -> DataFrame:
+    kind = candidates.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached: dict[str, np.ndarray] = {}
-        last, dt = None, None  # rows of one document follow each other
         for b in batches:
-            keep, share, altered, where = [], [], [], []
-            places, doc_texts, bodies = (b.column(i).to_pylist() for i in (2, 3, 4))
-            for i, (ps, d, t) in enumerate(zip(places, doc_texts, bodies)):
-                it = cached.get(t)
-                if it is None:
-                    it = cached[t] = _fold(terms(t))
-                if d != last:
-                    last, dt = d, _fold(terms(d))
-                _, n, x, at = longest_passage(it, dt, [(p["at"], p["position"]) for p in ps])
-                if len(it) and n >= SHARE * len(it):
-                    keep.append(i)
-                    share.append(n / len(it))
-                    altered.append(x)
-                    where.append(at)
-            take = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(share, pa.float64()), pa.array(altered, pa.int32()), pa.array(where, pa.int32())], names=[key, item_key, "share", "altered", "position"])
-
-    return candidates.mapInArrow(run, f"`{key}` {kinds[0]}, `{item_key}` {kinds[1]}, share double, altered int, position int")
+            row, ids, share, altered, where = [], [], [], [], []
+            for i, (d, xs) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+                dt = _fold(terms(d))
+                for x in xs:
+                    it = cached.get(x["item_body"])
+                    if it is None:
+                        it = cached[x["item_body"]] = _fold(terms(x["item_body"]))
+                    _, n, k, at = longest_passage(it, dt, [(p["at"], p["position"]) for p in x["places"]])
+                    least = len(it) if len(it) < RUN_WORDS else SHARE * len(it)
+                    if len(it) and n >= least:
+                        row.append(i)
+                        ids.append(x[item_key])
+                        share.append(n / len(it))
+                        altered.append(k)
+                        where.append(at)
+            kinds = b.schema.field(2).type.value_type.field(item_key).type
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(ids, kinds), pa.array(share, pa.float64()), pa.array(altered, pa.int32()), pa.array(where, pa.int32())], names=[key, item_key, "share", "altered", "position"])
+
+    return candidates.mapInArrow(run, f"`{key}` {kind}, `{item_key}` {item_kind}, share double, altered int, position int")

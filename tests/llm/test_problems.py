@@ -408,11 +408,47 @@ def test_leaks(spark, monkeypatch):
     items = spark.createDataFrame([(1, ITEM), (2, ZH), (3, None), (4, "")], "item_id bigint, text string")
     got = {(r["doc_id"], r["item_id"]) for r in leak.leaks(d.select("doc_id", "text"), items).collect()}
     assert got == {(1, 1), (2, 1), (4, 1), (8, 1), (9, 1), (10, 2), (11, 2), (12, 1), (14, 1), (15, 1)}
-    monkeypatch.setattr(leak, "FILTER_RUNS", 0)  # too many items to be sent to all tasks
+    monkeypatch.setattr(leak, "BROADCAST_ROWS", 0)  # too many items to be sent to all tasks
     assert {(r["doc_id"], r["item_id"]) for r in leak.leaks(d.select("doc_id", "text"), items).collect()} == got
     assert leak.leaks(d.select("doc_id", "text").limit(0), items).count() == 0 and leak.leaks(d.select("doc_id", "text"), items.limit(0)).count() == 0
 
 
+def test_short_items_are_met_as_a_whole(spark):
+    items = [(1, "hello world"), (2, "你好吗"), (3, "Zanzibar"), (4, "one two three four"), (5, "字")]
+    docs = [(1, "Hello, world"), (2, "你好吗"), (3, "world hello"), (4, "to Zanzibar we went"), (5, "one two"), (6, "some 字 here"), (7, "他说你好吗今天"), (8, "say hello world again")]
+    got = {(r["d"], r["i"]) for r in leak.leaks(spark.createDataFrame(docs, "d int, t string"), spark.createDataFrame(items, "i string, t string"), "d", "i", "t", "t").collect()}
+    assert got == {(1, "1"), (8, "1"), (2, "2"), (7, "2"), (4, "3"), (6, "5")}
+
+
+def test_leaks_against_brute_force(spark, monkeypatch):
+    """Random texts that share stock phrases; a filter so small that it lets nearly all runs through changes nothing."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(120)]
+    stock = [" ".join(rng.choices(words, k=9)) for _ in range(3)]
+    items = [(i, " ".join([*rng.choices(words, k=14), rng.choice(stock), *rng.choices(words, k=14)])) for i in range(12)]
+    docs = []
+    for d in range(120):
+        body = rng.choices(words, k=40)
+        if d % 2:
+            part = items[d % 12][1].split()
+            n = rng.randrange(10, len(part) + 1)
+            body[20:20] = part[:n] if d % 4 == 1 else part[-n:]
+        docs.append((d, " ".join(body) + " " + rng.choice(stock)))
+    fold = lambda t: leak._fold(leak.terms(t))
+    want = set()
+    for d, t in docs:
+        for i, u in items:
+            x, y = fold(u).tolist(), fold(t).tolist()
+            pairs = [(a, b) for a in range(len(x) - 2) for b in range(len(y) - 2) if x[a : a + 3] == y[b : b + 3]]
+            if pairs and leak.longest_passage(fold(u), fold(t), pairs)[1] >= leak.SHARE * len(x):
+                want.add((d, i))
+    dd, ii = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert len(want) > 20
+    for most in (leak.BLOOM_MOST, 1 << 6):
+        monkeypatch.setattr(leak, "BLOOM_MOST", most)
+        assert {(r["doc_id"], r["item_id"]) for r in leak.leaks(dd, ii).collect()} == want
+
+
 # 10 languages
 
 
