@@ -203,6 +203,35 @@ def test_scanned_noise(spark, monkeypatch):
     assert ocr.marked(df.limit(0)).count() == 0
 
 
+def scans(spark, rows):
+    return spark.createDataFrame([(k, t, "b.pdf", s, title, "b.pdf, pages 1-2") for k, t, s, title in rows], "segment_id bigint, text string, source_file string, source_id string, source_title string, source_detail string").withColumn("source_file", F.concat(F.col("source_id"), F.lit(".pdf")))
+
+
+@pytest.mark.parametrize("most", [400_000, 0])
+def test_heads_are_repeated_lines(spark, monkeypatch, most):
+    monkeypatch.setattr(ocr, "BROADCAST_ROWS", most)
+    body = "The canal was dug by {} men in the dry season and the salt was\n\nAN ACCOUNT OF SALT\n\ncarried {} miles inland."
+    rows = [(i, body.format(i, i + 7), "s1", "Another title") for i in range(12)]  # no number beside it
+    rows += [(20 + i, f"{i + 3}   Wages and tolls\n\nThe men of year {i} were paid in salt.", "s2", None) for i in range(3)]
+    rows += [(40, "1845  Wheat harvest\n\nThe yield was poor that year.", "s3", "T"), (41, "A text of another page about the yield.", "s3", "T")]
+    rows += [(50 + i, f"A line of prose {i}\n\nFirst heading\n\nIt goes on for {i} pages.", "s4", "T") for i in range(3)] + [(60 + i, f"Prose alone, number {i}, and no more.", "s4", "T") for i in range(20)]
+    got = {r["segment_id"]: r["heads"] for r in ocr.marked(scans(spark, rows)).collect()}
+    assert {k for k, n in got.items() if n} == {*range(12), 20, 21, 22}
+
+
+def test_a_corpus_of_scans_alone_is_corrected(spark):
+    rows = [(i, f"The market of town {i} was open and the others came home with salt.", "s1", "T") for i in range(70)]
+    rows += [(100, "The rnarket was closed.", "s1", "T"), (101, "The 0thers carne home.", "s1", "T"), (102, None, "s1", None), (103, "", None, None)]
+    out = {r["segment_id"]: r for r in ocr.marked(scans(spark, rows)).collect()}
+    assert {k for k, r in out.items() if r["misread"]} == {100, 101}
+    assert [x["line"] for x in out[100]["lines"]] == ["The market was closed."] and [x["line"] for x in out[101]["lines"]] == ["The others came home."]
+
+
+def test_the_text_chooses_between_forms():
+    fixes = {"bat": ["hat", "bit"]}
+    assert ocr.repair_line("a bat", fixes) == ("a hat", 1) and ocr.repair_line("a bat", fixes, said={"bit"}) == ("a bit", 1)
+
+
 # 5 sentences
 
 
