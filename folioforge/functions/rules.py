@@ -79,7 +79,7 @@ def detect_language(text: Column) -> Column:
 
 
 def quality_score(text: Column) -> Column:
-    """0 to 1: 0.65, more for 80 solid characters, less for under 20, for lost and for control characters."""
+    """0 to 1 by fixed weights: 0.65, more for 80 solid characters, less for under 20, for lost and for control characters."""
     n = non_space(text).cast("double")
     lost, control = count_chars(text, r"\x{FFFD}"), count_chars(text, r"\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}")
     raw = F.lit(0.65) + ladder((n >= 80, 0.2), (n < 20, -0.25), default=0.0) - F.least(F.lit(0.25), lost / n * 2) - F.least(F.lit(0.15), control / n * 2)
@@ -91,7 +91,7 @@ def quality_band(score: Column) -> Column:
 
 
 def difficulty(tokens: Column, ocr: Column, band: Column, language: Column, images: Column) -> Column:
-    """low, medium or high by points for size, scanned or poor text, other languages and images."""
+    """low, medium or high by fixed points for size, scanned or poor text, other languages and images."""
     points = (
         ladder((tokens >= 45_000, 3), (tokens >= 30_000, 2), (tokens >= 20_000, 1), default=0)
         + F.when(F.coalesce(ocr, F.lit(False)) | F.coalesce(band.isin("poor", "unreadable"), F.lit(False)), 2).otherwise(0)

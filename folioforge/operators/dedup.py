@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.plans.lineage import cut
@@ -175,8 +175,28 @@ def exact_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
     return h.join(first, "digest", "left").select(key, "digest", F.when(F.col("first") != F.col(key), F.col("first")).alias("duplicate_of"))
 
 
+def short_grams(text: Column, most: int = 3) -> Column:
+    """The different stretches of one to ``most`` characters of a text."""
+    at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text)))
+    every = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.lit(most)), lambda k: F.substring(text, i, k))))
+    return F.array_distinct(every)
+
+
 def surviving(df: DataFrame, group: str, key: str, text: str) -> DataFrame:
-    """Fragments that no longer fragment of their group contains, each distinct one once: group, key (the least), text."""
+    """Fragments that no longer fragment of their group contains, each distinct one once: group, key (the least), text.
+
+    A fragment within a longer one has all of that one's sampled grams that lie within it: it meets the texts of its group
+    over the least of its own. Fragments too short to have any meet the longer texts over their first signs.
+    """
     once = df.where(F.length(text) > 0).groupBy(group, F.col(text).alias("t")).agg(F.min(key).alias(key)).withColumn("n", F.length("t"))
-    longer = once.select(F.col(group).alias("g2"), F.col("t").alias("t2"), F.col("n").alias("n2"))
-    return once.join(longer, (F.col(group) == F.col("g2")) & (F.col("n2") > F.col("n")) & F.col("t2").contains(F.col("t")), "left_anti").select(group, key, F.col("t").alias("text"))
+    once = cut(prints(once, key, "t", (group, "t", "n")).drop("whole"))
+    longer = once.select(F.col(group).alias("g2"), F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("prints").alias("p2"))
+    inside = (F.col("n2") > F.col("n")) & F.col("t2").contains(F.col("t"))
+    needle = once.where(F.size("prints") > 0).withColumn("p", F.array_min("prints"))
+    hay = longer.select("g2", "t2", "n2", F.explode("p2").alias("p"))
+    gone = needle.join(hay, (F.col(group) == F.col("g2")) & (needle["p"] == hay["p"])).where(inside).select(group, "t")
+    short = once.where(F.size("prints") == 0).withColumn("s", F.substring("t", 1, 3))
+    if not short.isEmpty():
+        grams = longer.select("g2", "t2", "n2", F.explode(short_grams(F.col("t2"))).alias("s2"))
+        gone = gone.unionByName(short.join(grams, (F.col(group) == F.col("g2")) & (F.col("s") == F.col("s2"))).where(inside).select(group, "t"))
+    return once.join(gone.distinct(), [group, "t"], "left_anti").select(group, key, F.col("t").alias("text"))

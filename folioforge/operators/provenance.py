@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.operators.dedup import prints
+from folioforge.operators.dedup import prints, short_grams
 from folioforge.plans.lineage import small_enough
 
 #: Punctuation that comparisons leave out, as a class body (fixed values).
 PUNCTUATION = r"!-/:-@\[-`{-~\x{A1}-\x{BF}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{3001}-\x{3003}\x{3008}-\x{3011}\x{3014}-\x{301F}\x{3030}\x{FE10}-\x{FE19}\x{FE30}-\x{FE4F}\x{FE50}-\x{FE6B}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}"
 WIDE = "".join(chr(c) for c in (*range(0xFF10, 0xFF1A), *range(0xFF21, 0xFF3B), *range(0xFF41, 0xFF5B)))
 NARROW = "".join(chr(ord(c) - 0xFEE0) for c in WIDE)
-#: Needles up to this number are sent whole to every task.
+#: Grams up to this number are sent to every task; beyond it both sides are shuffled.
 FEW = 20_000
 
 
@@ -26,7 +26,7 @@ def located(needles: DataFrame, corpus: DataFrame, needle_key: str, needle: str,
     nowhere.
 
     A part of a text has the text's content-defined grams: a needle is looked up by the least of its own and then
-    compared. Needles too short to have one meet all texts, but are sent to them only where they are few.
+    compared. Needles too short to have one are looked up by their first three signs.
     """
     n = needles.select(needle_key, normalized(F.col(needle)).alias("needle")).where("length(needle) > 0")
     c = corpus.select(F.col(key), normalized(F.col(text)).alias("hay"))
@@ -36,12 +36,13 @@ def located(needles: DataFrame, corpus: DataFrame, needle_key: str, needle: str,
     wanted = anchored.select("g").distinct()
     seen = cp.select(key, "hay", F.explode("prints").alias("g")).join(F.broadcast(wanted) if small_enough(wanted, FEW) else wanted, "g", "left_semi")
     hits = seen.join(anchored, "g").where(F.expr("contains(hay, needle)")).select(needle_key, key)
-    short = np_.where(F.size("prints") == 0).select(needle_key, "needle")
+    short = np_.where(F.size("prints") == 0).select(needle_key, "needle", F.substring("needle", 1, 3).alias("s"))
     if short.isEmpty():
         return hits.distinct()
-    if not small_enough(short, FEW):
-        raise ValueError(f"over {FEW} needles are too short to be looked up; split them")
-    return hits.unionByName(c.join(F.broadcast(short), F.expr("contains(hay, needle)")).select(needle_key, key)).distinct()
+    starts = short.select("s").distinct()
+    grams = c.select(key, "hay", F.explode(short_grams(F.col("hay"))).alias("s"))
+    near = grams.join(F.broadcast(starts) if small_enough(starts, FEW) else starts, "s", "left_semi")
+    return hits.unionByName(near.join(short, "s").where(F.expr("contains(hay, needle)")).select(needle_key, key)).distinct()
 
 
 def first_located(needles: DataFrame, corpus: DataFrame, needle_key: str, needle: str, key: str, text: str) -> DataFrame:

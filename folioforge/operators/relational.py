@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.plans.lineage import cut
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in ``order``; ``order`` must be total."""
@@ -23,7 +25,8 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_no") -> DataFr
 
     Rows are range-partitioned and sorted; only the partitions' sizes meet in one place.
     """
-    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    # written once: a second evaluation might cut the ranges elsewhere
+    sorted_ = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()))
     local = sorted_.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
     sizes = local.groupBy("__p").agg(F.max("__i").alias("__n"))
     starts = sizes.withColumn("__s", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -69,6 +72,16 @@ def count_where(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
+def upper_median(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, upper_median): the value at place ``n // 2 + 1`` of each group's values in order. Equal values are counted
+    first, so that no group is collected; nulls do not count."""
+    n = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    every = F.sum("__n").over(Window.partitionBy(group))
+    at = n.select(group, value, upto.alias("__upto"), every.alias("__all")).where(F.col("__upto") > F.floor(F.col("__all") / 2))
+    return at.groupBy(group).agg(F.min(value).alias("upper_median"))
+
+
 def concentration(df: DataFrame, column: str) -> DataFrame:
     """One row: distinct values, the most frequent one (of ties the least), its share, and the sum of squared shares.
 

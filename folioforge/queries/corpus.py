@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import rules
 from folioforge.functions.text import estimate
-from folioforge.operators import dedup, planning, provenance
+from folioforge.operators import dedup, planning, provenance, relational
 from folioforge.queries.sqltext import SPACE
 from folioforge.queries.sqltext import estimate as sql_estimate
 from folioforge.plans.parallel import spread
@@ -217,8 +217,8 @@ def asof_view(spark: SparkSession, root: str) -> DataFrame:
 def page_line_summary(spark: SparkSession, root: str) -> DataFrame:
     """Of each file its pages with losses or little text, and the upper median of their lengths."""
     p = table(spark, root, "page_quality").where("source_file is not null and text_chars is not null")
-    g = p.groupBy("source_file").agg(F.count("*").alias("pages"), F.sum(F.when(F.col("replacement_chars") > 2, 1).otherwise(0)).alias("doubtful"), F.sum(F.when(F.col("non_ws_chars") < 20, 1).otherwise(0)).alias("short"), F.sort_array(F.collect_list("text_chars")).alias("cs"))
-    return g.select("source_file", "pages", "doubtful", "short", F.element_at("cs", F.floor(F.size("cs") / 2).cast("int") + 1).alias("upper_median"))
+    g = p.groupBy("source_file").agg(F.count("*").alias("pages"), F.sum(F.when(F.col("replacement_chars") > 2, 1).otherwise(0)).alias("doubtful"), F.sum(F.when(F.col("non_ws_chars") < 20, 1).otherwise(0)).alias("short"))
+    return g.join(relational.upper_median(p, "source_file", "text_chars"), "source_file")
 
 
 @query("SELECT segment_id, CASE WHEN regexp_matches(source_file, '[/\\\\]') THEN 'path' WHEN lower(source_file) <> source_file THEN 'case' ELSE 'plain' END AS spelling, lower(regexp_replace(source_file, '^.*[/\\\\]', '')) AS name FROM segments WHERE source_file IS NOT NULL")

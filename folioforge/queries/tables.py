@@ -368,11 +368,10 @@ def gap_inference(spark: SparkSession, root: str) -> DataFrame:
     """Pages that are missing between neighbours: gaps of 2.5 usual steps (upper median) and more, counted in steps."""
     w = Window.partitionBy("source_file").orderBy("page_number", "page_id")
     x = table(spark, root, "page_quality").where("source_file is not null and page_number is not null").withColumn("gap", F.col("page_number") - F.lag("page_number").over(w))
-    m = x.where("gap > 0").groupBy("source_file").agg(F.sort_array(F.collect_list("gap")).alias("gs"))
-    m = m.withColumn("pitch", F.element_at("gs", F.floor(F.size("gs") / 2).cast("int") + 1))
-    wide = F.filter("gs", lambda g: g >= 2.5 * F.col("pitch"))
-    missing = F.aggregate(F.transform(wide, lambda g: F.round(g / F.col("pitch")).cast("bigint") - 1), F.lit(0).cast("bigint"), lambda a, b: a + b)
-    return m.select("source_file", "pitch", F.when(F.size(wide) > 0, missing).alias("missing"))
+    gaps = x.where("gap > 0").groupBy("source_file", "gap").agg(F.count("*").alias("n"))
+    pitch = relational.upper_median(x.where("gap > 0"), "source_file", "gap").withColumnRenamed("upper_median", "pitch")
+    wide = F.when(F.col("gap") >= 2.5 * F.col("pitch"), F.col("n") * (F.round(F.col("gap") / F.col("pitch")).cast("bigint") - 1))
+    return gaps.join(pitch, "source_file").groupBy("source_file").agg(F.max("pitch").alias("pitch"), F.sum(wide).alias("missing"))
 
 
 @query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts FROM events GROUP BY 1")

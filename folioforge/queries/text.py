@@ -63,10 +63,11 @@ def clean_verdict(spark: SparkSession, root: str) -> DataFrame:
     return d.select("decoded_id", "reasons", "flags", "verdict")
 
 
-@query(f"SELECT verdict, count(*) AS sources, string_agg(decoded_id::VARCHAR, ',' ORDER BY decoded_id) AS ids FROM ({_VERDICT}) GROUP BY verdict")
+@query(f"SELECT verdict, reasons, flags, count(*) AS sources, min(decoded_id) AS first_id, max(decoded_id) AS last_id FROM ({_VERDICT}) GROUP BY ALL")
 def cleaning_report(spark: SparkSession, root: str) -> DataFrame:
+    """Buckets of the report with their sizes; clean_verdict is the membership table."""
     d = clean_verdict(spark, root)
-    return d.groupBy("verdict").agg(F.count("*").alias("sources"), F.array_join(F.transform(F.sort_array(F.collect_list("decoded_id")), lambda x: x.cast("string")), ",").alias("ids"))
+    return d.groupBy("verdict", "reasons", "flags").agg(F.count("*").alias("sources"), F.min("decoded_id").alias("first_id"), F.max("decoded_id").alias("last_id"))
 
 
 @query(f"SELECT doc_id, {sql_estimate('text')} AS tokens, {solid('text')} AS solid, CASE WHEN cjk > letters THEN 'zh' WHEN letters > 0 THEN 'en' ELSE 'other' END AS language FROM (SELECT doc_id, text, {count_chars('substr(text, 1, 4000)', chr(92) + 'x{4E00}-' + chr(92) + 'x{9FFF}')} AS cjk, {count_chars('lower(substr(text, 1, 4000))', 'a-z')} AS letters FROM documents)")

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Tags that part lines, tags without content for readers, tags without an end, classes and ids left out (fixed values).
@@ -98,3 +98,12 @@ def page_texts(df: DataFrame, key: str, markup: str, root: str | None = None) ->
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.list_(pa.string()))], names=[key, "text", "links"])
 
     return df.select(key, F.col(markup).alias("__m")).mapInArrow(run, f"`{key}` {kind}, text string, links array<string>")
+
+
+def page_title(markup: Column) -> Column:
+    """The text of a page's first title element, white space in one kind; null where there is none. Stays in the JVM."""
+    raw = F.regexp_extract(markup, r"(?is)<title[^>]*>(.*?)</title\s*>", 1)
+    for name, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("nbsp", " "), ("amp", "&")):
+        raw = F.replace(raw, F.lit(f"&{name};"), F.lit(sign))
+    plain = F.trim(F.regexp_replace(raw, r"\s+", " "))
+    return F.when(plain != "", plain)
