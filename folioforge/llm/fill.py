@@ -91,6 +91,8 @@ OUT_SCHEMA = "container string, piece_no int, n_pieces int, start_pos int, end_p
 def cut(text: str, capacity: int, count: Callable[[str], int]) -> list[tuple[int, int, int]]:
     """(start, end, tokens) of pieces of a text, each of at most ``capacity`` tokens by ``count``, without overlap and at
     natural boundaries where there are any."""
+    if count is estimate_py:
+        return [(a, b, estimate_py(text[a:b])) for a, b, _ in split_text(text, capacity, 0)]
     limit = max(1, int(capacity * estimate_py(text) / max(1, count(text))))
     out: list[tuple[int, int, int]] = []
     todo = [(a, b, limit) for a, b, _ in split_text(text, min(limit, capacity * 4), 0)][::-1]

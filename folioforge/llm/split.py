@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import estimate
+from folioforge.functions.text import blanks, estimate
 
 #: Boundaries, highest level first: each pattern's match ends where the next piece may start.
 LEVELS = (
@@ -37,10 +37,11 @@ class _Sizes:
     def __init__(self, text: str):
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         cjk = (codes >= 0x4E00) & (codes <= 0x9FFF)
-        space = np.fromiter((c.isspace() for c in text), bool, len(codes))
+        space = blanks(codes)
         self.text, self.n = text, len(codes)
-        self.ideographs, self.others = np.append(0, np.cumsum(cjk)), np.append(0, np.cumsum(~cjk & ~space))
-        self.cost = self.ideographs * 1.05 + self.others / 3.8
+        ideographs, others = np.append(0, np.cumsum(cjk)), np.append(0, np.cumsum(~cjk & ~space))
+        self.cost = ideographs * 1.05 + others / 3.8
+        self.ideographs, self.others = ideographs.tolist(), others.tolist()  # single places are read far faster from lists
 
     def size(self, a: int, b: int) -> int:
         return int((self.ideographs[b] - self.ideographs[a]) * 1.05 + (self.others[b] - self.others[a]) / 3.8)
