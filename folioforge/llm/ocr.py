@@ -206,10 +206,6 @@ def running_heads(passed: DataFrame) -> DataFrame:
     return n.where(F.col("title") | (F.col("numbered") >= HEAD_PAGES) | on_most).select("source", "head")
 
 
-#: Forms among which the rest of a text may choose.
-CHOICES = 4
-
-
 def corrections(passed: DataFrame) -> DataFrame:
     """(bad, good[]) forms. Within a skeleton group a form that clean text does not have gives way to the nearest forms that
     are frequent there, or in scans alone still more frequent. A word with a sign of a lost character stands for the
@@ -226,16 +222,16 @@ def corrections(passed: DataFrame) -> DataFrame:
     known = whole.select(F.col("form").alias("good"), best.alias("best"), "skeleton").where(F.col("best") >= enough)
     near = rare.join(known, "skeleton").where((F.col("best") >= TIMES * F.col("total")) & (F.col("bad") != F.col("good")))
     near = near.select("bad", "good", F.levenshtein("bad", "good").alias("d"), "best")
-    # of the nearest forms at most a few, the most frequent first: the text decides between them
+    # all of the nearest forms, the most frequent first: the text decides between them
     ranked = near.groupBy("bad").agg(F.array_sort(F.collect_list(F.struct("d", (-F.col("best")).alias("o"), "good"))).alias("xs"))
     nearest = F.filter("xs", lambda x: x["d"] == F.col("xs")[0]["d"])
-    bad = ranked.select("bad", F.transform(F.slice(nearest, 1, CHOICES), lambda x: x["good"]).alias("good"))
+    bad = ranked.select("bad", F.transform(nearest, lambda x: x["good"]).alias("good"))
     lost = counts.where(F.col("form").contains("�") & (F.length(F.regexp_replace("form", "[^�]", "")) == 1) & (F.length("form") > 3)).select("form")
     counts = counts.withColumn("clean", F.greatest("clean", F.floor(F.col("total") / SCANNED)))
     frequent = counts.where((F.col("clean") >= LEAST) & ~F.col("form").contains("�") & ~F.col("form").rlike("^[<>]") & (F.length("form") > 3))
     holes = frequent.select("form", "clean", F.explode(F.sequence(F.lit(1), F.length("form"))).alias("i")).select(F.concat(F.expr("substring(form, 1, i - 1)"), F.lit("�"), F.expr("substring(form, i + 1)")).alias("hole"), "form", "clean")
     fits = lost.withColumnRenamed("form", "bad").join(holes, F.col("bad") == F.col("hole")).groupBy("bad").agg(F.array_sort(F.collect_list(F.struct((-F.col("clean")).alias("o"), "form"))).alias("xs"))
-    return bad.unionByName(fits.select("bad", F.transform(F.slice("xs", 1, CHOICES), lambda x: x["form"]).alias("good")))
+    return bad.unionByName(fits.select("bad", F.transform("xs", lambda x: x["form"]).alias("good")))
 
 
 _UNIT = re.compile(r"[A-Za-zÀ-ɏͰ-ӿ0-9�]{2,}|" + f"[{_CJK_SIGNS}]")
@@ -327,7 +323,7 @@ def marked(segments: DataFrame, key: str = "segment_id", lines: bool = True) ->
     base = segments.select(F.col(key), F.coalesce(F.col("text"), F.lit("")).alias("text"), source_key(segments).alias("source"))
     kind = segments.schema[key].dataType.simpleString()
     rows, common, known = base, None, None
-    if small_enough(fixes, BROADCAST_ROWS):
+    if small_enough(fixes.select(F.explode("good")), BROADCAST_ROWS):
         common = {r["bad"]: list(r["good"]) for r in fixes.collect()}
         rows = rows.withColumn("own", F.lit(None).cast("map<string,array<string>>"))
     else:

@@ -505,3 +505,12 @@ def test_held_out_accuracy(spark):
     top, _, _, _ = m.best([r["text"] for r in rest])
     right = sum(m.languages[k] == r["lang"] for k, r in zip(top, rest))
     assert right > 0.88 * len(rest)  # the labels themselves are wrong for about a tenth
+
+
+def test_corrections_keep_every_choice(spark):
+    near, fits = ["halt", "hait", "hajt", "haIt", "haJt"], [f"wor{c}d" for c in "abcefg"]
+    rows = [("form", w, None, 50 - i, 50 - i, None) for i, w in enumerate(near + fits)] + [("form", w, None, 0, 1, None) for w in ("ha1t", "wor�d")]
+    passed = spark.createDataFrame(rows, "kind string, a string, b string, clean bigint, total bigint, pages array<bigint>")
+    got = {r["bad"]: list(r["good"]) for r in ocr.corrections(passed).collect()}
+    assert got == {"ha1t": near, "wor�d": fits}
+    assert ocr.repair_line("ha1t wor�d", got, said={"haJt", "worgd"}) == ("haJt worgd", 1)
