@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.plans.lineage import cut
+from folioforge.plans.lineage import cut, small_enough
 
 GRAM, KEEP_MOD = 8, 8
 JACCARD, CONTAINED = 0.85, 0.9
+#: First signs of short fragments that are sent to every task; beyond it both sides are shuffled.
+FEW = 20_000
 
 _RAW = np.zeros(256, np.uint32)
 for _i in range(256):
@@ -186,17 +188,23 @@ def surviving(df: DataFrame, group: str, key: str, text: str) -> DataFrame:
     """Fragments that no longer fragment of their group contains, each distinct one once: group, key (the least), text.
 
     A fragment within a longer one has all of that one's sampled grams that lie within it: it meets the texts of its group
-    over the least of its own. Fragments too short to have any meet the longer texts over their first signs.
+    over the least of its own. Fragments too short to have any meet the longer texts over their first signs. Only numbers
+    are exploded and joined; texts come to the pairs that are left. These joins are never broadcasts: the plan's estimates
+    do not see how much an explosion adds.
     """
     once = df.where(F.length(text) > 0).groupBy(group, F.col(text).alias("t")).agg(F.min(key).alias(key)).withColumn("n", F.length("t"))
-    once = cut(prints(once, key, "t", (group, "t", "n")).drop("whole"))
-    longer = once.select(F.col(group).alias("g2"), F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("prints").alias("p2"))
-    inside = (F.col("n2") > F.col("n")) & F.col("t2").contains(F.col("t"))
-    needle = once.where(F.size("prints") > 0).withColumn("p", F.array_min("prints"))
-    hay = longer.select("g2", "t2", "n2", F.explode("p2").alias("p"))
-    gone = needle.join(hay, (F.col(group) == F.col("g2")) & (needle["p"] == hay["p"])).where(inside).select(group, "t")
-    short = once.where(F.size("prints") == 0).withColumn("s", F.substring("t", 1, 3))
+    once = cut(prints(once, key, "t", (group, "t", "n")).drop("whole").withColumn("__no", F.monotonically_increasing_id()))
+    bits = F.aggregate("prints", F.lit(0).cast("bigint"), lambda m, p: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(p, 3).bitwiseAND(63).cast("int"))))
+    light = once.select(F.col(group).alias("g"), "__no", "n", "prints", bits.alias("bits"))
+    needle = light.where(F.size("prints") > 0).select("g", F.col("__no").alias("a"), "n", "bits", F.array_min("prints").alias("p"))
+    hay = light.select("g", F.col("__no").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.explode("prints").alias("p"))
+    pairs = needle.join(hay.hint("merge"), ["g", "p"]).where((F.col("n2") > F.col("n")) & (F.col("bits").bitwiseAND(F.col("bits2")) == F.col("bits"))).select("a", "b")
+    short = once.where(F.size("prints") == 0).select(F.col(group).alias("g"), F.col("__no").alias("a"), "n", F.substring("t", 1, 3).alias("s"))
     if not short.isEmpty():
-        grams = longer.select("g2", "t2", "n2", F.explode(short_grams(F.col("t2"))).alias("s2"))
-        gone = gone.unionByName(short.join(grams, (F.col(group) == F.col("g2")) & (F.col("s") == F.col("s2"))).where(inside).select(group, "t"))
-    return once.join(gone.distinct(), [group, "t"], "left_anti").select(group, key, F.col("t").alias("text"))
+        starts = short.groupBy("g", "s").agg(F.min("n").alias("least"))
+        grams = once.select(F.col(group).alias("g"), F.col("__no").alias("b"), F.col("n").alias("n2"), F.explode(short_grams(F.col("t"))).alias("s"))
+        sought = grams.join(F.broadcast(starts) if small_enough(starts, FEW) else starts.hint("merge"), ["g", "s"]).where("n2 > least")
+        pairs = pairs.unionByName(sought.join(short.hint("merge"), ["g", "s"]).where("n2 > n").select("a", "b"))
+    needles, longer = once.select(F.col("__no").alias("a"), F.col("t").alias("t1")), once.select(F.col("__no").alias("b"), F.col("t").alias("t2"))
+    gone = pairs.join(needles.hint("merge"), "a").join(longer.hint("merge"), "b").where(F.col("t2").contains(F.col("t1"))).select(F.col("a").alias("__no")).distinct()
+    return once.join(gone.hint("merge"), "__no", "left_anti").select(group, key, F.col("t").alias("text"))

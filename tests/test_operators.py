@@ -178,6 +178,19 @@ def test_exact_duplicates_and_survivors(spark):
     assert sorted((r["g"], r["k"]) for r in dedup.surviving(f, "g", "k", "t").collect()) == [("g", 2), ("g", 3), ("h", 5)]
 
 
+def test_survivors_join_without_broadcast(spark, monkeypatch):
+    rng = random.Random(6)
+    long = ["".join(rng.choices("abcdefgh", k=rng.choice([3, 9, 30, 90, 200]))) for _ in range(40)]
+    texts = sorted({*long, *(t[i : i + k] for t in long for i, k in ((0, 1), (2, 3), (5, 12), (8, 60), (3, 150)))} - {""})
+    rows = [(rng.choice("gh"), i, t) for i, t in enumerate(texts)]
+    want = sorted(i for g, i, t in rows if not any(h == g and len(u) > len(t) and t in u for h, _, u in rows))
+    f = spark.createDataFrame(rows, "g string, k int, t string")
+    assert sorted(r["k"] for r in dedup.surviving(f, "g", "k", "t").collect()) == want
+    monkeypatch.setattr(dedup, "FEW", 0)
+    left = dedup.surviving(f, "g", "k", "t")
+    assert "Broadcast" not in left._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(r["k"] for r in left.collect()) == want
+
 def test_packing_against_a_loop(spark):
     rng = random.Random(1)
     rows = [(rng.choice(["a", "b", None]), i, rng.choice([None, 0, 5, 40, 70, 200])) for i in range(300)]
