@@ -2,17 +2,19 @@
 
 Texts are compared by content-defined samples of their 8-character grams. Copies with the same set of grams are one
 class with one representative. Between representatives only the rarest grams of a set are looked up (a set that is to
-share a given part of its grams must share one of them), so that grams which a third of all texts hold are never joined.
+share a given part of its grams must share one of them), and bitmaps part most of what meets before sets are compared.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ GRAM, KEEP_MOD = 8, 8
 JACCARD, CONTAINED = 0.85, 0.9
 #: First signs of short fragments that are sent to every task; beyond it both sides are shuffled.
 FEW = 20_000
+#: Grams of the sets of a block, and pairs and grams that are compared at once.
+BLOCK, CHUNK = 6_000_000, 250_000
+#: Keys of copies up to which they are sent to every task.
+COPIES = 500_000
 
 _RAW = np.zeros(256, np.uint32)
 for _i in range(256):
@@ -31,9 +37,12 @@ for _i in range(256):
     _RAW[_i] = _c
 
 
+_NOT_SOLID = re.compile(r"[\W_]+")  # all but str.isalnum
+
+
 def solid_text(text: str) -> str:
     """Letters and digits only."""
-    return "".join(c for c in text if c.isalnum())
+    return _NOT_SOLID.sub("", text)
 
 
 def prints_of(text: str | None, n: int = GRAM, keep_mod: int = KEEP_MOD) -> np.ndarray:
@@ -49,7 +58,11 @@ def prints_of(text: str | None, n: int = GRAM, keep_mod: int = KEEP_MOD) -> np.n
     ends = np.append(lead, len(data))
     begin, end = lead[: len(lead) - n + 1], ends[n:]
     crc = np.full(len(begin), 0xFFFFFFFF, np.uint32)
-    for k in range(int((end - begin).max())):
+    width = end - begin
+    least = int(width.min())
+    for k in range(least):
+        crc = (crc >> 8) ^ _RAW.take((crc ^ data[begin + k]) & 0xFF)
+    for k in range(least, int(width.max())):
         at = begin + k
         on = at < end
         c = crc[on]
@@ -95,23 +108,157 @@ def classes(printed: DataFrame, key: str) -> DataFrame:
 
 def edges(printed: DataFrame, key: str, jaccard: float = JACCARD, contained: float = CONTAINED) -> DataFrame:
     """(small, big, inter, n_small, n_big, relation) between representatives: near_duplicate from ``jaccard`` on, else
-    contained where ``contained`` of the smaller set lies in the larger. Of equally large sets the lesser key is small."""
-    printed = cut(printed.where(F.size("prints") > 0).select(key, "prints", "whole"))  # read three times below
-    of = classes(printed, key)
-    reps = cut(printed.join(of.where(F.col(key) == F.col("class_id")).select(key), key, "left_semi").select(F.col(key).alias("id"), "prints", F.size("prints").alias("n")))
-    flat = reps.select("id", "n", F.explode("prints").alias("p"))
-    df = flat.groupBy("p").agg(F.count("*").alias("df"))
-    # a set A that shares the part c of its grams with B shares one of any |A| - ceil(c|A|) + 1 of them: take the rarest
+    contained where ``contained`` of the smaller set lies in the larger. Of equally large sets the lesser key is small.
+
+    The sets are dealt to blocks, and each pair of blocks is compared by one task, so that a pair of sets is met in one
+    task only and no candidates are stored: what is shuffled is every set once for each block.
+    """
+    kind = printed.schema[key].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [_packed(np.asarray(x, np.uint32)) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=[key, "packed"])
+
+    packed = cut(printed.where(F.size("prints") > 0).select(key, "prints").mapInArrow(pack, f"`{key}` {kind}, packed binary"))  # read three times below
+    same = packed.select(key, F.xxhash64("packed").alias("h"), F.crc32("packed").alias("c"))
+    copies = same.join(same.groupBy("h", "c").agg(F.min(key).alias("least")), ["h", "c"]).where(F.col(key) != F.col("least")).select(key)
+    reps = packed.join(F.broadcast(copies) if small_enough(copies, COPIES) else copies.hint("merge"), key, "left_anti")
+    blocks = max(1, -(-(packed.agg(F.sum(F.length("packed"))).first()[0] or 0) // (4 * BLOCK)))
+    mine = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    # the task of blocks i <= j has the number j (j + 1) / 2 + i
+    tasks = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda k: (F.greatest(k, "__b") * (F.greatest(k, "__b") + 1) / 2 + F.least(k, "__b")).cast("int"))
+    dealt = reps.withColumn("__b", mine).select(F.explode(tasks).alias("task"), "__b", F.col(key).alias("id"), "packed")
+    dealt = dealt.repartitionById(blocks * (blocks + 1) // 2, F.col("task")).sortWithinPartitions("task")
+    names = ["small", "big", "inter", "n_small", "n_big", "relation"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_task(batches):
+            for ids, a, b, n, inter in _met(rows, jaccard, contained):
+                near = inter >= jaccard * (n[a] + n[b] - inter) - 1e-9
+                on = near | (inter >= contained * n[a] - 1e-9)
+                a, b, inter, near = a[on], b[on], inter[on], near[on]
+                ints = [pa.array(x, pa.int32()) for x in (inter, n[a], n[b])]
+                relation = pa.array(np.where(near, "near_duplicate", "contained"), pa.string())
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b)), *ints, relation], names=names)
+
+    return dealt.mapInArrow(run, f"small {kind}, big {kind}, inter int, n_small int, n_big int, relation string")
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """A set of prints as gaps, the high bytes of all apart, as those are mostly zero. Prints are divisible by 8: turned by
+    three bits the gaps are small."""
+    x = np.sort((x >> 3) | (x << 29))
+    return np.diff(x, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(b, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel(), dtype=np.uint32)
+
+
+def _by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each task (first column), which come one after another."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        t = b.column(0).to_numpy()
+        at = [0, *(np.flatnonzero(t[1:] != t[:-1]) + 1), len(t)]
+        for i, j in zip(at, at[1:]):
+            if j > i and held and held[0].column(0)[0].as_py() != t[i]:
+                yield pa.Table.from_batches(held)
+                held = []
+            if j > i:
+                held.append(b.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _ragged(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1 ... (count[0] numbers), then those of the next."""
+    return np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+def _bitmaps(doc: np.ndarray, gram: np.ndarray, off: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap of each set: a bit that one set has and another has not stands for at least one gram of that kind."""
+    out = np.zeros((len(off) - 1, bits // 64), np.uint64)
+    for i in range(0, len(out), 8192):
+        j = min(len(out), i + 8192)
+        on = np.zeros((j - i, bits), bool)
+        at = (gram[off[i] : off[j]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+        on[doc[off[i] : off[j]] - i, at.astype(np.int64) & (bits - 1)] = True
+        out[i:j] = np.packbits(on, axis=1).view(np.uint64)
+    return out
+
+
+def _met(rows: pa.Table, jaccard: float, contained: float) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, a, b, n, inter) of the pairs of one task that may be linked: a is the smaller set of ids and b the larger, n
+    are the sizes of all. In a task of two blocks only pairs across them are met."""
+    ids, side = rows.column("id").combine_chunks(), rows.column("__b").to_numpy()
+    sets = [_unpacked(x.as_py()) for x in rows.column("packed")]
+    del rows
+    n = np.array([len(x) for x in sets], np.int64)
+    # by size, then key: of two sets the first is the smaller one
+    rank = np.empty(len(n), np.int64)
+    rank[pc.sort_indices(ids).to_numpy()] = np.arange(len(n))
+    order = np.lexsort((rank, n))
+    ids, side, n = ids.take(pa.array(order)), side[order], n[order]
+    flat = np.concatenate([sets[i] for i in order])
+    del sets
+    off = np.concatenate([[0], np.cumsum(n)])
+    doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    maps = [_bitmaps(doc, flat, off, bits) for bits in (256, 1024)]
+    known = np.unique(flat)
+    gram = np.searchsorted(known, flat).astype(np.int32)
+    del flat, known
+    df = np.bincount(gram)
+    gram_bits, doc_bits = len(df).bit_length(), len(n).bit_length()
+    most = (1 << (62 - gram_bits - doc_bits)) - 1
+    # a set that shares the part c of its grams with B shares one of any |A| - ceil(c|A|) + 1 of them: take the rarest
     part = min(contained, 2 * jaccard / (1 + jaccard) if jaccard < 1 else 1.0)
-    ranked = flat.join(df.where("df > 1"), "p", "left").withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("df", F.lit(1)), "p")))
-    probes = ranked.where((F.col("r") <= F.col("n") - F.ceil(part * F.col("n") - F.lit(1e-9)) + 1) & F.col("df").isNotNull()).select(F.col("id").alias("a"), F.col("n").alias("na"), "p")
-    met = probes.join(flat.select(F.col("id").alias("b"), F.col("n").alias("nb"), "p"), "p").where((F.col("a") != F.col("b")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))))
-    pairs = met.select("a", "b", "na", "nb").distinct()
-    both = pairs.join(reps.select(F.col("id").alias("a"), F.col("prints").alias("pa")), "a").join(reps.select(F.col("id").alias("b"), F.col("prints").alias("pb")), "b")
-    both = both.withColumn("inter", F.size(F.array_intersect("pa", "pb"))).drop("pa", "pb")
-    union = F.col("na") + F.col("nb") - F.col("inter")
-    near, inside = F.col("inter") >= jaccard * union - 1e-9, F.col("inter") >= contained * F.col("na") - 1e-9
-    return both.where(near | inside).select(F.col("a").alias("small"), F.col("b").alias("big"), "inter", F.col("na").alias("n_small"), F.col("nb").alias("n_big"), F.when(near, "near_duplicate").otherwise("contained").alias("relation"))
+    spare = n - np.ceil(part * n - 1e-9).astype(np.int64)
+    by = doc.astype(np.int64)
+    by <<= 62 - doc_bits
+    by |= ((np.minimum(df, most) << gram_bits) | np.arange(len(df)))[gram]
+    by.sort()
+    by = by[_ragged(off[:-1], np.minimum(spare + 1, n))]
+    p_doc, p_gram = by >> (62 - doc_bits), by & ((1 << gram_bits) - 1)
+    on = df[p_gram] > 1
+    p_doc, p_gram = p_doc[on], p_gram[on]
+    sought = np.zeros(len(df), bool)
+    sought[p_gram] = True
+    every = doc.astype(np.int64)  # ascending, as are the grams of a set
+    every <<= gram_bits
+    every |= gram
+    own = np.unique(side)
+    for x, y in [(own[0], own[0])] if len(own) == 1 else [(own[0], own[1]), (own[1], own[0])]:
+        on = sought[gram] & (side[doc] == y)
+        posted = np.sort((gram[on].astype(np.int64) << doc_bits) | doc[on])
+        on = side[p_doc] == x
+        a_, g_ = p_doc[on], p_gram[on]
+        lo, hi = np.searchsorted(posted, (g_ << doc_bits) | a_, "right"), np.searchsorted(posted, (g_ + 1) << doc_bits)
+        total = np.cumsum(hi - lo)
+        rest, i = np.zeros(0, np.int64), 0
+        while i < len(a_):
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + CHUNK, "right")))
+            a, b = np.repeat(a_[i:j], hi[i:j] - lo[i:j]), posted[_ragged(lo[i:j], hi[i:j] - lo[i:j])] & ((1 << doc_bits) - 1)
+            on = np.bitwise_count(maps[0][a] & ~maps[0][b]).sum(1) <= spare[a]
+            rest = np.unique(np.concatenate([rest, (a[on] << doc_bits) | b[on]]))
+            # the pairs of the last set may be met again over its next gram
+            upto = len(rest) if j == len(a_) else int(np.searchsorted(rest, a_[j] << doc_bits))
+            now, rest, i = rest[:upto], rest[upto:], j
+            for k in range(0, len(now), CHUNK):
+                a, b = now[k : k + CHUNK] >> doc_bits, now[k : k + CHUNK] & ((1 << doc_bits) - 1)
+                on = np.bitwise_count(maps[1][a] & ~maps[1][b]).sum(1) <= spare[a]
+                a, b = a[on], b[on]
+                a, b = a[o := np.argsort(b, kind="stable")], b[o]
+                ends = np.cumsum(n[a])
+                s = 0
+                while s < len(a):
+                    e = max(s + 1, int(np.searchsorted(ends, (ends[s - 1] if s else 0) + CHUNK, "right")))
+                    u, v = a[s:e], b[s:e]
+                    q = (np.repeat(v, n[u]) << gram_bits) | gram[_ragged(off[u], n[u])]
+                    hit = every[np.minimum(np.searchsorted(every, q), len(every) - 1)] == q
+                    yield ids, u, v, n, np.add.reduceat(hit, np.cumsum(n[u]) - n[u], dtype=np.int64)
+                    s = e
 
 
 def components(links: DataFrame) -> DataFrame:

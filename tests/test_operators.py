@@ -133,6 +133,22 @@ def test_near_duplicates_against_brute_force(spark):
     assert gone and not set(gone) & set(gone.values())
 
 
+def test_edges_store_no_candidates(spark, monkeypatch):
+    rng = random.Random(9)
+    stock = [" ".join(rng.choices([f"word{i}x" for i in range(40)], k=12)) for _ in range(30)]
+    docs = [". ".join(rng.choices(stock, k=rng.choice([1, 2, 3, 9, 40]))) for _ in range(120)]
+    df = spark.createDataFrame([(f"k{i}", t) for i, t in enumerate(docs)], "id string, text string")
+    want = brute_edges({f"k{i}": brute_prints(t) for i, t in enumerate(docs)})
+    assert {"near_duplicate", "contained"} == {x[2] for x in want}
+    for block, chunk in ((10**6, 10**6), (1500, 50)):  # one block, and several
+        monkeypatch.setattr(dedup, "BLOCK", block)
+        monkeypatch.setattr(dedup, "CHUNK", chunk)
+        links = dedup.edges(dedup.prints(df, "id"), "id")
+        rows = links.collect()
+        assert len(rows) == len(want) and {(r["small"], r["big"], r["relation"]) for r in rows} == want
+        assert "array_intersect" not in links._jdf.queryExecution().optimizedPlan().toString()  # no pairs with their sets
+    assert not dedup.edges(dedup.prints(df.where("false"), "id"), "id").collect()
+
 def test_every_text_has_a_class(spark):
     long = "a text of which some grams are sampled, as it is long enough for that, " * 3
     texts = ["short", "Short?", "sho-rt", None, None, "", " ", "???", "!!!", long, long.replace(",", "")]
