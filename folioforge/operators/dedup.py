@@ -26,8 +26,8 @@ JACCARD, CONTAINED = 0.85, 0.9
 FEW = 20_000
 #: Grams of the sets of a block, and pairs and grams that are compared at once.
 BLOCK, CHUNK = 6_000_000, 250_000
-#: Keys of copies up to which they are sent to every task.
-COPIES = 500_000
+#: Keys of copies, and links of a forest, up to which one process holds them.
+COPIES, LINKS = 500_000, 2_000_000
 
 _RAW = np.zeros(256, np.uint32)
 for _i in range(256):
@@ -263,7 +263,14 @@ def _met(rows: pa.Table, jaccard: float, contained: float) -> Iterator[tuple[pa.
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of the ids in ``links`` (u, v): component is the least id that can be reached. Large and small stars
-    in turn until a round changes nothing; the rounds grow with the logarithm of the longest path."""
+    in turn until a round changes nothing; the rounds grow with the logarithm of the longest path. Before that each task
+    keeps only links that connect, and where few are left one task ends the work."""
+    kind = links.schema["u"].dataType.simpleString()
+    forest = cut(links.select("u", "v").mapInArrow(_forest, f"u {kind}, v {kind}"))
+    if small_enough(forest, LINKS):
+        every = forest.coalesce(1).mapInArrow(_forest, f"u {kind}, v {kind}")
+        return every.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    links = forest
     star = cut(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while True:
         both = star.union(star.select("v", "u"))
@@ -278,6 +285,29 @@ def components(links: DataFrame) -> DataFrame:
     return star.select(F.col("u").alias("id"), F.col("v").alias("component")).union(star.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v) of each id in the links: v is the least id that it is connected with by them."""
+    up: dict = {}
+    ids = None
+
+    def top(x):
+        while (p := up[x]) != x:
+            up[x] = x = up[p]
+        return x
+
+    for b in batches:
+        ids = b.column(0).type
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            up.setdefault(u, u), up.setdefault(v, v)
+            u, v = top(u), top(v)
+            if u != v:
+                up[max(u, v)] = min(u, v)
+    keys = list(up)
+    for i in range(0, len(keys), 100_000):
+        some = keys[i : i + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some, ids), pa.array([top(x) for x in some], ids)], names=["u", "v"])
+
+
 def resolved(links: DataFrame) -> DataFrame:
     """(dropped, kept, relation): first come, first kept, over the links of :func:`edges`.
 
@@ -286,10 +316,11 @@ def resolved(links: DataFrame) -> DataFrame:
     group is read once in that order, holding the ids it drops, and nothing stays undecided. Where the text that another
     gave way to is dropped later, kept is the one that stands at the end; relation is that of the deciding link.
     """
-    near = F.col("relation") == "near_duplicate"
-    rule = cut(links.select(F.least("small", "big").alias("u"), F.greatest("small", "big").alias("v"), F.when(near, F.greatest("small", "big")).otherwise(F.col("small")).alias("worse"), F.when(near, F.least("small", "big")).otherwise(F.col("big")).alias("better"), "relation"))
+    # what gives way: 0 v, a near duplicate; 1 u, 2 v, contained
+    way = F.when(F.col("relation") == "near_duplicate", 0).when(F.col("small") < F.col("big"), 1).otherwise(2).cast("tinyint")
+    rule = cut(links.select(F.least("small", "big").alias("u"), F.greatest("small", "big").alias("v"), way.alias("way")))
     of = components(rule.select("u", "v"))
-    ordered = rule.join(of.withColumnRenamed("id", "u"), "u").repartition("component").sortWithinPartitions("component", "u", "v").select("component", "worse", "better", "relation")
+    ordered = rule.join(of.withColumnRenamed("id", "u"), "u").repartition("component").sortWithinPartitions("component", "u", "v").select("component", "u", "v", "way")
     kind = links.schema["small"].dataType.simpleString()
     names = ["dropped", "kept", "relation"]
 
@@ -303,13 +334,14 @@ def resolved(links: DataFrame) -> DataFrame:
         now, gone, ids = None, {}, None
         for b in batches:
             ids = b.column(1).type
-            for c, worse, better, relation in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for c, u, v, way in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if c != now:
                     if gone:
                         yield settled(gone, ids)
                     now, gone = c, {}
-                if worse not in gone and better not in gone:
-                    gone[worse] = (better, relation)
+                if u not in gone and v not in gone:
+                    worse, better = (u, v) if way == 1 else (v, u)
+                    gone[worse] = (better, "contained" if way else "near_duplicate")
         if gone:
             yield settled(gone, ids)
 

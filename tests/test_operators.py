@@ -187,6 +187,16 @@ def test_resolved_cycles_and_long_chains(spark):
     assert set(got) == set(want) and not set(got) & set(got.values()) and all(got[k] == want[k] or want[k] in want for k in want)
 
 
+def test_links_are_thinned_before_groups_are_found(spark, monkeypatch):
+    rng = random.Random(11)
+    links = [(g * 50 + a, g * 50 + b) for g in range(4) for a, b in (rng.sample(range(50), 2) for _ in range(900))]
+    df = spark.createDataFrame(links, "u int, v int").repartition(3)
+    assert sum(b.num_rows for b in dedup._forest(iter(df.toArrow().to_batches()))) == 200
+    for most in (dedup.LINKS, 0):  # in one task, and in rounds
+        monkeypatch.setattr(dedup, "LINKS", most)
+        got = dedup.components(df).collect()
+        assert sorted((r["id"], r["component"]) for r in got) == [(i, i // 50 * 50) for i in range(200)]
+
 def test_exact_duplicates_and_survivors(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, None)], "k int, text string")
     assert {r["k"]: r["duplicate_of"] for r in dedup.exact_duplicates(df, "k", "text").collect()} == {1: None, 2: None, 3: 1, 4: None, 5: None}
