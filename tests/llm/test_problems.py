@@ -514,3 +514,15 @@ def test_corrections_keep_every_choice(spark):
     got = {r["bad"]: list(r["good"]) for r in ocr.corrections(passed).collect()}
     assert got == {"ha1t": near, "wor�d": fits}
     assert ocr.repair_line("ha1t wor�d", got, said={"haJt", "worgd"}) == ("haJt worgd", 1)
+
+
+def test_plain_characters_are_never_special(spark):
+    n = F.col("id").cast("int")
+    c = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    chars = spark.range(1, 0x11000).where("id < 55296 or id > 57343").select("id", c.alias("c"))
+    plain = chars.where(F.col("c").rlike(f"^{lookalike._JAVA_PLAIN}$"))
+    assert plain.count() > 20000
+    assert not plain.where(F.col("c").rlike(lookalike._JAVA_SPECIAL) | F.col("c").rlike(r"[\p{M}\p{Cn}]")).head(1)
+    # between others, and two of a kind side by side
+    for text in (F.concat(F.lit("ab"), "c", F.lit("字")), F.concat("c", "c"), F.concat("c", F.lit("a"), "c")):
+        assert not chars.where(~F.col("c").rlike(lookalike._JAVA_ALPHABETS) & (lookalike.needs_work(text) != text.rlike(lookalike._JAVA_SPECIAL))).head(1)
